@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mixing, sharding, urlfilter, warc
+from . import embedding_dedup, mixing, ngram_join, sharding, urlfilter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,7 +28,15 @@ def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_warc, op4_url_filter, op5_mixing, op6_sharding)}
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similar_sets(table(spark, sf_dir, "documents"))
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_warc, op4_url_filter, op5_mixing, op6_sharding, op7_embedding_dedup, op10_ngram_join)}
 
 #: Queries that DuckDB can express. It has no crc32, which op6 returns.
 ORACLE: dict[str, str] = {"op3_warc": warc.oracle(), "op4_url_filter": urlfilter.oracle(), "op5_mixing": mixing.ORACLE}
