@@ -89,7 +89,9 @@ _BYTE = _RNG.integers(0, 2**64, 256, dtype=np.uint64)
 _BYTE[ord("A") : ord("Z") + 1] = _BYTE[ord("a") : ord("z") + 1]  # A-Z count as a-z
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
-_BYTE[_SPACE] = 0
+#: What else ends a word where punctuation doesn't count: every ASCII byte but letters and digits.
+_BREAK = _SPACE.copy()
+_BREAK[[b for b in range(128) if not chr(b).isalnum()]] = True
 _P = 0x9E3779B97F4A7C1B  # odd, and 3 modulo 8: powers of it differ in almost all bits
 _PLACE = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _POWERS: list[np.ndarray] = []
@@ -109,15 +111,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(data: np.ndarray, offsets: np.ndarray, punctuation: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words (runs of bytes other than 09-0D and 20; A-Z as a-z) of texts that lie end to end.
 
-    Returns the hashes in order, and the number of words of each text.
+    Returns the hashes in order, and the number of words of each text. Without punctuation, any ASCII byte that is no
+    letter or digit ends a word.
     """
     n = len(data)
     if not n:
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
-    word = ~_SPACE[data]
+    word = ~(_SPACE if punctuation else _BREAK)[data]
     before = np.empty(n, bool)
     before[0], before[1:] = False, word[:-1]
     before[offsets[:-1][offsets[:-1] < n]] = False
@@ -125,7 +128,7 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.n
     if not len(starts):
         return np.zeros(0, np.uint64), np.zeros(len(offsets) - 1, np.int64)
     up, down = _powers(n)
-    sums = np.add.reduceat(_BYTE[data] * up[:n], starts)  # spaces add 0
+    sums = np.add.reduceat(np.where(word, _BYTE[data] * up[:n], np.uint64(0)), starts)
     counts = np.diff(np.searchsorted(starts, offsets))
     return mix(sums * down[starts]), counts
 

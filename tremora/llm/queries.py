@@ -6,12 +6,22 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import embedding_dedup, mixing, ngram_join, sharding, urlfilter, warc
+from . import decontamination, embedding_dedup, langid, mixing, ngram_join, quality, sharding, toxicity, urlfilter, warc
 from .common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -32,11 +42,19 @@ def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.similar_sets(table(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_warc, op4_url_filter, op5_mixing, op6_sharding, op7_embedding_dedup, op10_ngram_join)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op2_quality, op3_warc, op4_url_filter, op5_mixing, op6_sharding, op7_embedding_dedup, op8_language, op9_decontamination, op10_ngram_join)}
 
 #: Queries that DuckDB can express. It has no crc32, which op6 returns.
 ORACLE: dict[str, str] = {"op3_warc": warc.oracle(), "op4_url_filter": urlfilter.oracle(), "op5_mixing": mixing.ORACLE}
