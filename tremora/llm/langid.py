@@ -12,7 +12,6 @@ words without letters don't count; equal rows get equal results; ties go to the
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -22,7 +21,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import fold, small_batches
-from .labelled import WordCache
 
 SAMPLE = 1500
 #: Distinct languages that one model holds.
@@ -38,58 +36,99 @@ _SMOOTH = 0.05
 def clean(word: str) -> str:
     """The letters of a word in lower case."""
     w = word.lower()
-    return w if w.isalpha() else "".join(c for c in w if c.isalpha())
+    return w if w.isalpha() else "".join(filter(str.isalpha, w))
 
 
-def grams(word: str) -> tuple[np.ndarray, np.ndarray]:
-    """Hashed trigrams of a padded word, and their hashed contexts (the first two signs)."""
-    w = f"  {word} ".encode("utf-32-le")
-    tri = [zlib.crc32(w[i : i + 12]) % BUCKETS for i in range(0, len(w) - 8, 4)]
-    ctx = [zlib.crc32(w[i : i + 8], 1) % BUCKETS for i in range(0, len(w) - 8, 4)]
-    return np.array(tri), np.array(ctx)
+_A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
+
+
+def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashed trigrams of padded words, their hashed contexts (the first two signs), and where each word's begin."""
+    text = np.frombuffer("".join(f"  {w} " for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    lengths = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(lengths + 3)
+    whole = np.ones(max(0, len(text) - 2), bool)
+    for back in (1, 2):  # trigrams that run into the next word
+        at = ends[:-1] - back
+        whole[at[at < len(whole)]] = False
+    ctx = text[:-2] * _A + text[1:-1] * _B
+    spread = lambda x: ((x ^ (x >> np.uint64(29))) * _C >> np.uint64(40)).astype(np.int64) % BUCKETS
+    return spread(ctx * _B + text[2:] * _C)[whole], spread(ctx)[whole], np.cumsum(lengths + 1) - (lengths + 1)
 
 
 @dataclass
 class Model:
     languages: list[str]
-    #: By language: log((trigrams + s) / (contexts + s * V)) apart, for hashed trigrams and contexts.
+    #: By hashed trigram and by hashed context, a column a language: log counts with some mass for unseen ones.
     tri: np.ndarray
     ctx: np.ndarray
 
-    def word(self, word: str) -> np.ndarray | None:
-        """Log likelihood of a word in each language, less the greatest; None without letters."""
-        if not (w := clean(word)):
-            return None
-        t, c = grams(w)
-        ll = (self.tri[:, t] - self.ctx[:, c]).sum(1)
-        return ll - ll.max()
+    def words(self, words: list[str]) -> np.ndarray:
+        """Likelihood of each (clean, non-empty) word in each language, relative to its greatest."""
+        t, c, starts = grams(words)
+        ll = np.add.reduceat(self.tri[t] - self.ctx[c], starts, axis=0)
+        return np.maximum(np.exp(ll - ll.max(1, keepdims=True)), 1e-30).astype(np.float32)
+
+
+class Likelihoods:
+    """Rows of likelihoods for words, kept for up to `most` of them; row 0 stands for words without letters."""
+
+    def __init__(self, model: Model, most: int = 400_000):
+        self.model, self.most, self.rows = model, most, {}
+        self.table = np.ones((1, max(1, len(model.languages))), np.float32)
+
+    def of(self, texts: list[list[str]]) -> list[np.ndarray]:
+        """For each text, the rows of its words with letters."""
+        if len(self.rows) > self.most:
+            self.rows, self.table = {}, self.table[:1]
+        new = [w for w in dict.fromkeys(w for words in texts for w in words) if w not in self.rows]
+        letters = [clean(w) for w in new]
+        fresh = [w for w in letters if w]
+        at = len(self.table)
+        for w, c in zip(new, letters):
+            self.rows[w] = at if c else 0
+            at += bool(c)
+        if fresh:
+            self.table = np.concatenate([self.table, self.model.words(fresh)])
+        out = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in texts]
+        return [r[r > 0] for r in out]
 
 
 def _em(like: np.ndarray) -> tuple[np.ndarray, float]:
     """Proportions and log likelihood of a mixture of the columns."""
     n, k = like.shape
-    if k == 1:
-        return np.ones(1), float(np.log(np.maximum(like[:, 0], 1e-300)).sum())
     p = np.full(k, 1 / k)
-    for _ in range(ROUNDS):
+    for _ in range(ROUNDS if k > 1 else 0):
         p = p * ((1 / (like @ p)) @ like) / n
     return p, float(np.log(like @ p).sum())
 
 
-def infer(rows: np.ndarray) -> tuple[np.ndarray, list[int]]:
-    """Proportions over all languages, and the chosen set, largest proportion first, from words x languages log likelihoods."""
-    like = np.maximum(np.exp(rows), 1e-30)
-    p, _ = _em(like)
-    order = [int(i) for i in np.argsort(-p, kind="stable") if p[i] >= LEAST] or [int(np.argmax(p))]
+def proportions(like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Proportions in each of several texts whose words' likelihoods lie end to end, by the same EM on all at once."""
+    starts, k = np.cumsum(sizes) - sizes, like.shape[1]
+    p = np.full((len(sizes), k), 1 / k, np.float32)
+    for _ in range(ROUNDS):
+        mine = like * np.repeat(p, sizes, axis=0)
+        p = np.add.reduceat(mine / mine.sum(1, keepdims=True), starts, axis=0) / sizes[:, None]
+    return p
+
+
+def choose(p: np.ndarray, like: np.ndarray) -> tuple[np.ndarray, list[int]]:
+    """Proportions and the chosen set, largest first, from the proportions over all languages and the words' likelihoods."""
+    order = [int(i) for i in np.argsort(-p, kind="stable") if p[i] >= LEAST]
+    if len(order) < 2:
+        return p, [int(np.argmax(p))]
     best, chosen, parts = -np.inf, order[:1], np.ones(1)
     for k in range(1, len(order) + 1):
-        q, ll = _em(like[:, order[:k]])
-        if (value := ll - PENALTY * k * np.log(len(rows) + 1)) <= best:
+        q, ll = _em(like[:, order[:k]].astype(np.float64))
+        if (value := ll - PENALTY * k * np.log(len(like) + 1)) <= best:
             break
         best, chosen, parts = value, order[:k], q
-    out = np.zeros(rows.shape[1])
+    if len(chosen) == 1:
+        return p, chosen
+    out = np.zeros(len(p))
     out[chosen] = parts
-    return (out if len(chosen) > 1 else p), [chosen[i] for i in np.argsort(-parts, kind="stable")]
+    return out, [chosen[i] for i in np.argsort(-parts, kind="stable")]
 
 
 def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> Model:
@@ -99,23 +138,21 @@ def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> Model:
     if len(counts) > MOST_LANGUAGES:
         raise ValueError(f"more than {MOST_LANGUAGES} languages")
     if not counts:
-        return Model([], np.zeros((0, BUCKETS)), np.zeros((0, BUCKETS)))
+        return Model([], np.zeros((BUCKETS, 0)), np.zeros((BUCKETS, 0)))
     languages = sorted(r.lang for r in counts)
     # a share of each language's documents by hash: about per_language of them, or all
     share = F.element_at(F.create_map(*(F.lit(x) for r in counts for x in (r.lang, min(1.0, per_language / r.n)))), F.col("lang"))
     chosen = known.where(F.pmod(F.xxhash64("doc_id", F.lit("lang")), F.lit(1 << 20)) < share * (1 << 20)).select("lang", "text")
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordCache(lambda w: grams(c) if (c := clean(w)) else None)
-        tri, ctx = {}, {}
+        counts: dict[str, list[np.ndarray]] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                got = [g for g in map(cache.__getitem__, (text or "").split()) if g is not None]
-                if got:
-                    for kind, i in ((tri, 0), (ctx, 1)):
-                        kind[lang] = kind.get(lang, 0) + np.bincount(np.concatenate([g[i] for g in got]), minlength=BUCKETS)
-        for lang in tri:
-            yield pa.RecordBatch.from_pylist([{"lang": lang, "tri": tri[lang].astype(np.int64).tobytes(), "ctx": ctx[lang].astype(np.int64).tobytes()}])
+                if words := [c for w in (text or "").split() if (c := clean(w))]:
+                    for kind, found in zip(counts.setdefault(lang, [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]), grams(words)):
+                        kind += np.bincount(found, minlength=BUCKETS)
+        for lang, (tri, ctx) in counts.items():
+            yield pa.RecordBatch.from_pylist([{"lang": lang, "tri": tri.tobytes(), "ctx": ctx.tobytes()}])
 
     # the sample is bounded, and so is what a few tasks count of it
     found = chosen.repartition(8).mapInArrow(rows, "lang string, tri binary, ctx binary")
@@ -126,7 +163,8 @@ def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> Model:
         ctx[i] += np.frombuffer(r.ctx, np.int64)
     seen = np.maximum((tri > 0).sum(1, keepdims=True), 1)
     # unseen trigrams get a little of the context's mass
-    return Model(languages, np.log(tri + _SMOOTH).astype(np.float32), np.log(ctx + _SMOOTH * np.sqrt(seen)).astype(np.float32))
+    log = lambda x: np.ascontiguousarray(np.log(x).T, np.float32)
+    return Model(languages, log(tri + _SMOOTH), log(ctx + _SMOOTH * np.sqrt(seen)))
 
 
 OUT = "doc_id long, lang_pred string, score double, languages array<string>, proportions array<double>"
@@ -137,17 +175,31 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("doc_id", pa.int64()), ("lang_pred", pa.string()), ("score", pa.float64()), ("languages", pa.list_(pa.string())), ("proportions", pa.list_(pa.float64()))])
-        n = len(model.languages)
-        cache = WordCache(lambda w: None if (v := model.word(w)) is None else v.astype(np.float64).tobytes())
+        cache = Likelihoods(model)
+
+        def flush(texts: list[list[str]]) -> list[tuple]:
+            found = cache.of(texts) if model.languages else [np.zeros(0, np.int64)] * len(texts)
+            some = [i for i, f in enumerate(found) if len(f)]
+            out: list[tuple] = [("und", 0.0, [], [])] * len(texts)
+            if some:
+                sizes = np.array([len(found[i]) for i in some])
+                like = cache.table[np.concatenate([found[i] for i in some])]
+                ends = np.cumsum(sizes)
+                for i, p, end, n in zip(some, proportions(like, sizes), ends.tolist(), sizes.tolist()):
+                    p, chosen = choose(p, like[end - n : end])
+                    out[i] = (model.languages[chosen[0]], float(min(1.0, p[chosen[0]])), [model.languages[c] for c in chosen], [float(p[c]) for c in chosen])
+            return out
+
         for batch in batches:
-            out = []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                found = b"".join(filter(None, map(cache.__getitem__, (text or "").split()))) if n else b""
-                if not found:
-                    out.append((doc_id, "und", 0.0, [], []))
-                    continue
-                p, chosen = infer(np.frombuffer(found, np.float64).reshape(-1, n))
-                out.append((doc_id, model.languages[chosen[0]], float(min(1.0, p[chosen[0]])), [model.languages[i] for i in chosen], [float(p[i]) for i in chosen]))
+            out, texts, held = [], [], 0
+            for text in batch.column(1).to_pylist():
+                texts.append((text or "").split())
+                held += len(texts[-1])
+                if held > 300_000:  # words at a time, for memory
+                    out += flush(texts)
+                    texts, held = [], 0
+            out += flush(texts)
+            out = [(i, *o) for i, o in zip(batch.column(0).to_pylist(), out)]
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
     small_batches(docs.sparkSession)
