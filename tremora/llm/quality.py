@@ -1,8 +1,8 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network with a temperature.
 
 A word counts as its letters in lower case and as its shape (signs by kind, runs as one); both are hashed to rows of
-one table. A row's vector is the sum of the sparse random index vectors of what occurs within WINDOW words of it in the
-sample, and of its own. A document is the mean of its words' vectors and that of its shapes' vectors. The network is
+one table. A row's vector is the sum of its own sparse random index vector and of those of its contexts in the sample:
+the shapes within WINDOW words. (Words as contexts too made held-out results a little worse.) A document is the mean of its words' vectors and that of its shapes' vectors. The network is
 fitted on part of the sample, and the temperature that divides its output on the rest.
 
 The sample has at most SAMPLE texts of each label, which bounds the model whatever the corpus; all else is per text.
