@@ -54,9 +54,11 @@ class Model:
     weights: np.ndarray
     thresholds: np.ndarray
 
+    def __post_init__(self) -> None:
+        self.by_id = dict(zip(self.ids.tolist(), self.weights.tolist()))
+
     def word(self, word: str) -> float:
-        got = [i for f in features(word) if (i := np.searchsorted(self.ids, f)) < len(self.ids) and self.ids[i] == f]
-        return float(self.weights[got].sum()) if got else 0.0
+        return sum(self.by_id.get(f, 0.0) for f in features(word))
 
     def above(self, scores: np.ndarray) -> np.ndarray:
         """P(grade > k) for each score and k."""
