@@ -32,7 +32,8 @@ SAMPLE = 4000
 GRADES = (2, 5)
 #: Least z-score of a feature's log odds between toxic and clean texts.
 Z = 3.5
-#: A text is toxic if P(grade > 0) is at least this; one sign is enough, and a missed text costs more than a clean one.
+#: A text with a sign is toxic if P(grade > 0) is at least this: a missed text costs more than a clean one. Without any
+#: sign no text is rejected, however common toxic texts are among the labels.
 REJECT = 0.2
 
 _TRIM = re.compile(r"^\W+|\W+$")
@@ -64,6 +65,9 @@ class Model:
         """P(grade > k) for each score and k."""
         return _sigmoid(scores[:, None] - self.thresholds[None, :])
 
+    def rejects(self, scores: np.ndarray) -> np.ndarray:
+        return (scores > 0) & (self.above(scores)[:, 0] >= REJECT)
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * (1 + np.tanh(0.5 * x))
@@ -120,15 +124,20 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = SAMPLE, learn: str
     if not (y == 0).any() or not (y == 1).any():
         return Model(np.zeros(0, np.int64), np.zeros(0), np.full(3, 50.0))
     ids = [np.frombuffer(r.f, np.int32) for r in got]
-    seen = [np.unique(i) for i in ids]
-    df = np.array([np.bincount(np.concatenate([s for s, k in zip(seen, y) if k == c] or [np.zeros(0, np.int32)]), minlength=FEATURES) for c in (0, 1)], np.float64)
-    n = np.array([(y == 0).sum(), (y == 1).sum()], np.float64)
-    odds = np.log((df + 0.5) / (n[:, None] - df + 0.5))
-    z = (odds[1] - odds[0]) / np.sqrt((1 / (df + 0.5)).sum(0) + (1 / (n[:, None] - df + 0.5)).sum(0))
-    # rare features reach no high z however clear they are: those that no clean text has count from 3 toxic texts on
-    typical = (z >= Z) | (df[0] == 0) & (df[1] >= 3)
-    chosen = np.flatnonzero(typical)  # signs of clean texts excuse nothing
-    place = np.full(FEATURES, -1)
+    df = np.zeros((2, FEATURES), np.int32)
+    for i, k in zip(ids, y):
+        df[k, np.unique(i)] += 1
+    n = np.array([(y == 0).sum(), (y == 1).sum()], np.float64)[:, None]
+    often = np.flatnonzero(df[1] >= 3)
+    seen = df[:, often].astype(np.float64)
+    odds = np.log((seen + 0.5) / (n - seen + 0.5))
+    z = (odds[1] - odds[0]) / np.sqrt((1 / (seen + 0.5)).sum(0) + (1 / (n - seen + 0.5)).sum(0))
+    # features that no clean text has count from 3 toxic texts on: rare ones reach no high z, however clear they are
+    chosen = often[(z >= Z) | (seen[0] == 0)]  # signs of clean texts excuse nothing
+    typical = np.zeros(FEATURES, bool)
+    typical[chosen] = True
+    n = n[:, 0]
+    place = np.full(FEATURES, -1, np.int32)
     place[chosen] = np.arange(len(chosen))
     grade = np.zeros(len(y), np.int64)
     rows, cols = [], []
@@ -156,8 +165,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordCache(model.word)
         for batch in batches:
-            above = model.above(_scores(model, batch.column(1), cache))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(1)), pa.array(above[:, 0]), pa.array(above[:, 0] >= REJECT)], ["doc_id", "severity", "p_toxic", "toxic"])
+            scores = _scores(model, batch.column(1), cache)
+            above = model.above(scores)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(above.sum(1)), pa.array(above[:, 0]), pa.array(model.rejects(scores))], ["doc_id", "severity", "p_toxic", "toxic"])
 
     small_batches(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, severity double, p_toxic double, toxic boolean")
@@ -170,7 +180,7 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = WordCache(model.word)
         for batch in batches:
-            yield batch.filter(pa.array(model.above(_scores(model, batch.column(at), cache))[:, 0] < REJECT))
+            yield batch.filter(pa.array(~model.rejects(_scores(model, batch.column(at), cache))))
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(rows, docs.schema)
