@@ -33,7 +33,7 @@ def match_score(seconds: Column, km: Column, depth: Column, magnitude: Column, r
     for value, most, weight in zip((seconds, km, depth, magnitude), (rules.seconds, rules.km, rules.depth_km, rules.magnitude), WEIGHTS):
         if most:
             near = 1.0 - F.least(F.lit(1.0), F.greatest(F.lit(0.0), value / most))
-            total = total + F.coalesce(weight * near, F.lit(0.0))
+            total = total + F.when(value.isNotNull(), weight * near).otherwise(0.0)  # least() and greatest() skip nulls
             weights = weights + F.when(value.isNotNull(), weight).otherwise(0.0)
     return half_up(total / weights, 4)
 

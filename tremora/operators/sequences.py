@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,29 +12,56 @@ EPS = 1e-6
 def resolve_sequences(members: DataFrame, eps: float = EPS) -> DataFrame:
     """Members with multi_sequence_status UNIQUE, MULTIPLE, AMBIGUOUS or NOT_MEMBER and resolution_rank.
 
-    A candidate in one sequence is UNIQUE. In several, the group of best rows (probability, then distance, each within
-    eps of the best, which no pairwise order could express) decides: one row wins rank 1, a tie makes the candidate
-    AMBIGUOUS. Lower ranks go on in the same way until a tie, from where the mainshock's id decides. The rows of one
-    candidate are at most one a window, so ranks are folded inside the row's array.
+    A candidate in one sequence is UNIQUE. In several, the best rows (probability, then distance, each within eps of the
+    best) decide: one row wins rank 1, a tie makes the candidate AMBIGUOUS. Lower ranks go on in the same way until a
+    tie, from where the mainshock's id decides.
+
+    "Within eps" is no order, but where each run of probabilities less than eps apart spans at most eps (all real cases),
+    taking the best row again and again is sorting by (run, distance) up to the first neighbours in a run whose distances
+    tie. That is two sorted windows over a candidate's rows. Candidates with a longer run are folded row by row.
     """
     c = F.col
-    member = members.where("is_sequence_member")
-    row = F.struct(F.coalesce("membership_probability", F.lit(0.0)).alias("p"), F.coalesce("normalized_distance", F.lit(0.0)).alias("d"), c("mainshock_event_id").alias("m"))
-    lists = member.groupBy("candidate_event_id").agg(F.sort_array(F.collect_list(row)).alias("rows"))
-    kind = dict(members.dtypes)["mainshock_event_id"]
-    # state: what is left, the ranks so far, and whether a tie has come; each step takes the winner out
-    best = f"filter(filter(a.rest, x -> array_max(transform(a.rest, y -> y.p)) - x.p <= {eps}), x -> x.d - array_min(transform(filter(a.rest, z -> array_max(transform(a.rest, y -> y.p)) - z.p <= {eps}), z -> z.d)) <= {eps})"
-    step = f"""(a, i) -> if(a.tie or size(a.rest) = 0, a, if(size({best}) = 1,
-        named_struct('rest', filter(a.rest, x -> x.m <> {best}[0].m), 'out', concat(a.out, transform({best}, x -> x.m)), 'tie', false),
-        named_struct('rest', a.rest, 'out', a.out, 'tie', true)))"""
-    fold = f"aggregate(sequence(1, size(rows)), named_struct('rest', rows, 'out', cast(array() as array<{kind}>), 'tie', false), {step}, a -> struct(a.out AS won, array_sort(transform(a.rest, x -> x.m)) AS tied))"
-    ranked = lists.withColumn("n", F.size("rows")).withColumn("r", F.expr(fold))
-    ranks = F.when(c("n") == 1, F.transform("rows", lambda x: x["m"])).when(F.size("r.won") > 0, F.concat("r.won", "r.tied"))
-    out = ranked.select("candidate_event_id", "n", ranks.alias("ranks"))
-    joined = members.join(out, "candidate_event_id", "left")
-    rank = F.when(c("is_sequence_member"), F.nullif(F.array_position("ranks", c("mainshock_event_id")), F.lit(0)).cast("int"))
-    status = F.when(~c("is_sequence_member"), "NOT_MEMBER").when(c("n") == 1, "UNIQUE").when(c("ranks").isNull(), "AMBIGUOUS").otherwise("MULTIPLE")
-    return joined.withColumns({"multi_sequence_status": status, "resolution_rank": rank}).drop("n", "ranks")
+    member = members.where("is_sequence_member").select("candidate_event_id", "mainshock_event_id", F.coalesce("membership_probability", F.lit(0.0)).alias("p"), F.coalesce("normalized_distance", F.lit(0.0)).alias("d"))
+    mine = Window.partitionBy("candidate_event_id")
+    by_p = mine.orderBy(c("p").desc())
+    rows = member.withColumn("_new", F.when(F.lag("p").over(by_p) - c("p") <= eps, 0).otherwise(1))
+    rows = rows.withColumn("run", F.sum("_new").over(by_p.rowsBetween(Window.unboundedPreceding, 0)))
+    in_run = Window.partitionBy("candidate_event_id", "run")
+    rows = rows.withColumn("odd", F.max("p").over(in_run) - F.min("p").over(in_run) > eps)
+    rows = rows.withColumn("odd", F.bool_or("odd").over(mine))
+    best_first = mine.orderBy("run", "d", "mainshock_event_id")
+    tied = (F.lead("run").over(best_first) == c("run")) & (F.lead("d").over(best_first) - c("d") <= eps)
+    rows = rows.withColumn("at", F.row_number().over(best_first)).withColumn("tied", F.coalesce(tied, F.lit(False)))
+    rows = rows.withColumns({"stop": F.min(F.when(c("tied"), c("at"))).over(mine), "n": F.count("*").over(mine)})
+    late = F.coalesce(c("at") >= c("stop"), F.lit(False))
+    rows = rows.withColumn("rank", F.when(~late, c("at")).otherwise(c("stop") - 1 + F.row_number().over(Window.partitionBy("candidate_event_id", late).orderBy("mainshock_event_id"))))
+    plain = rows.where("not odd").select("candidate_event_id", "mainshock_event_id", "n", F.when((c("stop") == 1) & (c("n") > 1), None).otherwise(c("rank")).alias("rank"))
+    ranked = plain.unionByName(_fold_ranks(rows.where("odd"), eps))
+    joined = members.join(ranked, ["candidate_event_id", "mainshock_event_id"], "left")
+    rank = F.when(c("is_sequence_member"), c("rank")).cast("int")
+    status = F.when(~c("is_sequence_member"), "NOT_MEMBER").when(c("n") == 1, "UNIQUE").when(c("rank").isNull(), "AMBIGUOUS").otherwise("MULTIPLE")
+    return joined.withColumns({"multi_sequence_status": status, "resolution_rank": rank}).drop("n", "rank")
+
+
+def _fold_ranks(rows: DataFrame, eps: float) -> DataFrame:
+    """Ranks of the candidates whose probabilities form a run that is longer than eps, one row after the other."""
+    kind = dict(rows.dtypes)["candidate_event_id"], dict(rows.dtypes)["mainshock_event_id"]
+
+    def rank(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("mainshock_event_id", kind="stable").reset_index(drop=True)
+        left, out = list(range(len(pdf))), []
+        p, d = pdf["p"].to_numpy(), pdf["d"].to_numpy()
+        while left:
+            top = [i for i in left if max(p[left]) - p[i] <= eps]
+            best = [i for i in top if d[i] - min(d[top]) <= eps]
+            if len(best) > 1:
+                break
+            out += best
+            left.remove(best[0])
+        ranks = {i: k for k, i in enumerate(out + left, 1)} if out else {}
+        return pd.DataFrame({"candidate_event_id": pdf["candidate_event_id"], "mainshock_event_id": pdf["mainshock_event_id"], "n": len(pdf), "rank": pd.array([ranks.get(i) for i in range(len(pdf))], dtype="Int32")})
+
+    return rows.select("candidate_event_id", "mainshock_event_id", "p", "d").groupBy("candidate_event_id").applyInPandas(rank, f"candidate_event_id {kind[0]}, mainshock_event_id {kind[1]}, n long, rank int")
 
 
 def nested_mainshocks(resolved: DataFrame, mains: DataFrame, eps: float = EPS) -> DataFrame:

@@ -49,7 +49,7 @@ def islands(df: DataFrame, start: str, end: str, *by: str) -> DataFrame:
     """Unions of half-open intervals that touch or overlap: (by, island_start, island_end, parts)."""
     w = Window.partitionBy(*by).orderBy(start, end)
     before = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = df.withColumn("_new", F.when(F.col(start) <= before, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(w))
+    marked = df.withColumn("_new", F.when(F.col(start) <= before, 0).otherwise(1)).withColumn("_island", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return marked.groupBy(*by, "_island").agg(F.min(start).alias("island_start"), F.max(end).alias("island_end"), F.count("*").alias("parts")).drop("_island")
 
 

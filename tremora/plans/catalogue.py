@@ -164,9 +164,9 @@ def _feeds(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return tuple(e.where(F.col("event_type") == t).select(*cols, F.col("source_observation_id").alias("source_record_key"), F.lit("VALID").alias("quality_status"), F.when(F.col("canonical_event_id") % 2 == 0, "J").otherwise("U").alias("determining_agency_code")) for t in ("click", "view"))
 
 
-_PAIRS = f"""WITH {EVENTS}, pr0 AS (SELECT u.event_id AS l, v.event_id AS r, abs(epoch_ms(u.ts) - epoch_ms(v.ts)) / 1000.0::DOUBLE AS dt, abs(u.depth - v.depth) AS dd, abs(u.mag - v.mag) AS dm,
+_PAIRS = f"""WITH {EVENTS}, pr0 AS (SELECT u.event_id AS l, v.event_id AS r, abs(epoch_us(u.ts) // 1000 - epoch_us(v.ts) // 1000) / 1000.0::DOUBLE AS dt, abs(u.depth - v.depth) AS dd, abs(u.mag - v.mag) AS dm,
   pow(sin(radians(v.lat - u.lat) / 2), 2) + cos(radians(u.lat)) * cos(radians(v.lat)) * pow(sin(radians(v.lon - u.lon) / 2), 2) AS a
-  FROM ev u JOIN ev v ON u.event_type = 'click' AND v.event_type = 'view' AND abs(epoch_ms(u.ts) - epoch_ms(v.ts)) <= 120000),
+  FROM ev u JOIN ev v ON u.event_type = 'click' AND v.event_type = 'view' AND abs(epoch_us(u.ts) // 1000 - epoch_us(v.ts) // 1000) <= 120000),
 pr1 AS (SELECT *, 6371.0 * 2 * atan2(sqrt(a), sqrt(1 - a)) AS km FROM pr0),
 pr2 AS (SELECT *, floor((0.4 * (1 - least(1.0::DOUBLE, dt / 120.0)) + 0.4 * (1 - least(1.0::DOUBLE, km / 100.0)) + 0.1 * (1 - least(1.0::DOUBLE, dd / 50.0)) + 0.1 * (1 - least(1.0::DOUBLE, dm))) / 1.0 * 10000 + 0.5) / 10000 AS score FROM pr1),
 pr AS (SELECT *, km > 100 AS far, dd > 50 AS deep, dm > 1.0 AS big, NOT (km > 100 OR dd > 50 OR dm > 1.0) AND score < 0.6 AS low FROM pr2),
@@ -310,7 +310,7 @@ def audit_yearly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return A.audit_counts(_audited(spark, sf_dir)[0])["by_year"]
 
 
-@query("WITH m(milestone, at) AS (VALUES ('a', TIMESTAMP '1996-10-01'), ('b', TIMESTAMP '1999-03-11 05:46:00'), ('c', TIMESTAMP '2030-01-01')), c AS (SELECT milestone, count(*) FILTER (o_orderdate >= at - INTERVAL 365 DAY AND o_orderdate < at) AS before, count(*) FILTER (o_orderdate >= at AND o_orderdate < at + INTERVAL 365 DAY) AS after FROM orders, m GROUP BY 1) SELECT milestone, before, after, round(after / before::DOUBLE, 6) AS ratio, CASE WHEN before = 0 THEN 'NEW_PHASE' WHEN after / before::DOUBLE > 2 THEN 'SURGE' WHEN after / before::DOUBLE < 0.5 THEN 'DECREASE' ELSE 'STABLE' END AS assessment FROM c WHERE before > 0 OR after > 0")
+@query("WITH m(milestone, moment) AS (VALUES ('a', TIMESTAMP '1996-10-01'), ('b', TIMESTAMP '1999-03-11 05:46:00'), ('c', TIMESTAMP '2030-01-01')), c AS (SELECT milestone, count(*) FILTER (o_orderdate >= moment - INTERVAL 365 DAY AND o_orderdate < moment) AS before, count(*) FILTER (o_orderdate >= moment AND o_orderdate < moment + INTERVAL 365 DAY) AS after FROM orders, m GROUP BY 1) SELECT milestone, before, after, round(after / before::DOUBLE, 6) AS ratio, CASE WHEN before = 0 THEN 'NEW_PHASE' WHEN after / before::DOUBLE > 2 THEN 'SURGE' WHEN after / before::DOUBLE < 0.5 THEN 'DECREASE' ELSE 'STABLE' END AS assessment FROM c WHERE before > 0 OR after > 0")
 def network_shift(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = A.network_shift(table(spark, sf_dir, "orders"), (("a", "1996-10-01 00:00:00"), ("b", "1999-03-11 05:46:00"), ("c", "2030-01-01 00:00:00")), time="o_orderdate")
     return out.withColumn("ratio", r("ratio"))
@@ -322,7 +322,7 @@ def half_up_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", half_up(v / 10).alias("half_up"), bin_of(v, 0.1).alias("bin"))
 
 
-@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract(props, '$.missing') IS NULL AS no_missing, CAST(epoch_ms(ts) AS BIGINT) AS t_ms FROM events")
+@query("SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k, json_extract(props, '$.missing') IS NULL AS no_missing, epoch_us(ts) // 1000 AS t_ms FROM events")
 def props_json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     v = F.try_parse_json("props")
     return table(spark, sf_dir, "events").select("event_id", F.try_variant_get(v, "$.k", "bigint").alias("k"), F.try_variant_get(v, "$.missing", "string").isNull().alias("no_missing"), F.unix_millis(F.col("ts").cast("timestamp")).alias("t_ms"))
@@ -489,10 +489,7 @@ def dim_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
 def coverage_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.to_date("o_orderdate")
     rows = table(spark, sf_dir, "orders").select((F.col("o_custkey") % 50).alias("k"), d.alias("s"), F.date_add(d, 3).alias("e"))
-    w = Window.partitionBy("k").orderBy("s", "e")
-    before = F.max("e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = rows.withColumn("_n", F.when(F.col("s") <= before, 0).otherwise(1)).withColumn("_i", F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy("k", "_i").agg(F.min("s").alias("island_start"), F.max("e").alias("island_end"), F.count("*").alias("parts")).drop("_i")
+    return sets.islands(rows, "s", "e", "k")
 
 
 @query("WITH RECURSIVE ed AS (SELECT DISTINCT strftime(a.o_orderdate, '%Y%m') AS x, strftime(b.o_orderdate, '%Y%m') AS y FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderkey % 400 = 0), sy AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed), cl(month) AS (SELECT '199701' UNION SELECT y FROM cl JOIN sy ON month = x) SELECT month FROM cl")
