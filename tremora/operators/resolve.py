@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +9,7 @@ from ..functions.geo import haversine_km
 from ..functions.ids import canonical_id, link_id
 from ..functions.reasons import all_reasons
 from ..functions.score import LinkRules, match_score, threshold_reasons
+from ..session import keep
 
 SIDE = ("source_observation_id", "event_time_utc", "latitude", "longitude", "depth_km", "magnitude")
 
@@ -69,13 +68,11 @@ def match_one_to_one(pairs: DataFrame, order: list[Column], left: str, right: st
     A pair that comes first for both its ends is what greedy matching takes; taking all such pairs at once, dropping
     pairs that touch them and going on gives the same result in few rounds. Rounds go to the checkpoint folder.
     """
-    spark = pairs.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    left_over, taken, paths = pairs, None, []
+    left_over, taken = pairs, None
     for _ in range(rounds):
         first = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
         marked = left_over.withColumn("_best", first(left)).withColumn("_best", F.col("_best") & first(right))
-        marked = _keep(marked, base, paths)
+        marked = keep(marked, "match")
         best = marked.where("_best").drop("_best")
         taken = best if taken is None else taken.unionByName(best)
         rest = marked.where("not _best").drop("_best")
@@ -87,24 +84,14 @@ def match_one_to_one(pairs: DataFrame, order: list[Column], left: str, right: st
     raise RuntimeError(f"matching is not settled after {rounds} rounds")
 
 
-def _keep(df: DataFrame, base: str | None, paths: list[str]) -> DataFrame:
-    """Ends lineage: a table below the shared folder, or a persisted frame where none is set (tests)."""
-    if base is None:
-        out = df.persist()
-        out.count()
-        return out
-    paths.append(f"{base.rstrip('/')}/tremora/match-{uuid.uuid4().hex}")
-    df.write.parquet(paths[-1])
-    return df.sparkSession.read.schema(df.schema).parquet(paths[-1])
-
-
 def evaluate_links(feed: DataFrame, bulletin: DataFrame, rules: LinkRules) -> DataFrame:
     """Every pair within the time threshold with its link_decision ACCEPTED, REJECTED or AMBIGUOUS and reason codes."""
     extra = ("source_record_key", "quality_status", "determining_agency_code")
     cols = [c for c in (*SIDE, *extra) if c in feed.columns]
     pairs = pair_measures(time_pairs(feed.select(*cols), bulletin.select(*cols), rules.seconds), rules)
     pairs = pairs.withColumn("source_link_id", link_id(F.lit(rules.model), F.col("l_source_observation_id"), F.col("r_source_observation_id")))
-    good = ambiguous_pairs(pairs.where("size(reject_reasons) = 0"), rules.ambiguity)
+    pairs = keep(pairs, "pairs")
+    good = keep(ambiguous_pairs(pairs.where("size(reject_reasons) = 0"), rules.ambiguity), "qualifying")
     order = [F.col("match_score").desc(), F.col("l_event_time_utc"), F.col("l_source_observation_id"), F.col("r_event_time_utc"), F.col("r_source_observation_id")]
     clear = good.where("not ambiguous").drop("ambiguous")
     taken = match_one_to_one(clear, order, "l_source_observation_id", "r_source_observation_id").select("source_link_id").withColumn("_taken", F.lit(True))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.score import LinkRules
 from ..operators import dedup, resolve, validate
 from ..operators.gold import Star, to_gold
+from ..session import keep
 
 #: Columns that both parsers give and the pipeline carries.
 OBSERVATION = "schema_version source_system source_record_key source_revision_key source_observation_id raw_record_hash event_time_utc source_updated_at_utc latitude longitude depth_km magnitude magnitude_type event_type_code place_name source_status tsunami_flag alert_level significance max_intensity_code determining_agency_code catalog_release catalog_release_at_utc catalog_era bronze_manifest_id raw_object_uri raw_sha256 raw_record_locator ingest_run_id processed_at_utc is_in_study_area quality_status quality_flags".split()
@@ -39,14 +40,15 @@ def integrate(parsed: list[DataFrame], run_id: str, updated_at: Column, regions:
     rows = parsed[0].select(*OBSERVATION, "reject_reasons")
     for p in parsed[1:]:
         rows = rows.unionByName(p.select(*OBSERVATION, "reject_reasons"))
-    fine, rejected = validate.split(rows)
-    checked, more = validate.split(validate.validate(fine, run_id))
+    fine, rejected = validate.split(keep(rows, "parsed"))
+    checked, more = validate.split(keep(validate.validate(fine, run_id), "validated"))
     rejects = rejected.unionByName(more)
     if not allow_rejects and not rejects.isEmpty():
         raise ValueError("the run has rejects")
-    observations = dedup.classify_revisions(checked)
+    observations = keep(dedup.classify_revisions(checked), "observations")
     now = dedup.current(observations)
     links, members = resolve.resolve(now, rules)
+    links, members = keep(links, "links"), keep(members, "members")
     named = links.withColumnsRenamed({"l_source_observation_id": "left_observation_id", "r_source_observation_id": "right_observation_id"})
     spark = rows.sparkSession
     regions = regions if regions is not None else spark.createDataFrame([], "source_observation_id string, region_key string, region_name string, region_category string")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import SparkSession
+import uuid
+
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,3 +26,14 @@ def require_utc(spark: SparkSession) -> None:
     """Fails unless the session's time zone is UTC: dates and keys are derived in it."""
     if (zone := spark.conf.get("spark.sql.session.timeZone")) != "UTC":
         raise ValueError(f"the session's time zone is {zone}, not UTC")
+
+
+def keep(df: DataFrame, name: str) -> DataFrame:
+    """Ends lineage, so that later plans don't repeat earlier work: a table below the folder that spark.checkpoint.dir
+    names, which a lost executor doesn't take along; where none is named (tests, notebooks), a persisted frame."""
+    base = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        return df.persist()
+    path = f"{base.rstrip('/')}/tremora/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
