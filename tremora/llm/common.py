@@ -7,6 +7,7 @@ setting is absent (tests, notebooks) a temporary folder of this process stands i
 from __future__ import annotations
 
 import atexit
+import ctypes
 import shutil
 import tempfile
 import uuid
@@ -64,12 +65,19 @@ def small_batches(spark: SparkSession, rows: int = 2000) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+def trim() -> None:
+    """Gives freed memory back to the system: workers are kept for later tasks, and with them what they once needed."""
+    pa.default_memory_pool().release_unused()
+    if give_back := getattr(ctypes.CDLL(None), "malloc_trim", None):  # glibc
+        give_back(0)
+
+
 def fold(doc_id: Column | str, k: int) -> Column:
     """crc32 of the id as text, modulo k."""
     return F.crc32(F.col(doc_id).cast("string") if isinstance(doc_id, str) else doc_id.cast("string")) % k
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 21) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, end row, bytes, offsets) of runs of texts; a run has at most `limit` bytes or is one text. Null: empty."""
     column = column.combine_chunks() if isinstance(column, pa.ChunkedArray) else column
     column = (column.fill_null("") if column.null_count else column).cast(pa.large_string())
@@ -99,7 +107,7 @@ _POWERS: list[np.ndarray] = []
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _POWERS or len(_POWERS[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, 1 << 20)
         _POWERS[:] = [np.cumprod(np.r_[np.uint64(1), np.full(size - 1, x, np.uint64)]) for x in (_P, pow(_P, -1, 2**64))]
     return _POWERS[0], _POWERS[1]
 

@@ -30,15 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, shingles, small_batches, text_chunks
+from .common import components, materialize, shingles, small_batches, text_chunks, trim
 
 WORDS = 5
 #: Links need 100 * overlap >= PERCENT * union.
 PERCENT = 80
 #: Shingles in this share of a run of documents, and of all documents, are hot.
 HOT = 0.005
-#: Shingles a bucket, and sets a cell or pair of blocks, that one task gathers.
-BUCKET, CELL = 3_000_000, 4096
+#: Shingles a bucket, classes a group, and sets a cell or pair of blocks, that one task gathers.
+BUCKET, GROUP, CELL = 2_500_000, 2000, 4096
 
 _LOW = np.uint64((1 << 48) - 1)
 _NEVER = np.uint32(0xFFFFFFFF)
@@ -76,11 +76,12 @@ def set_rows(docs: DataFrame, k: int = WORDS) -> DataFrame:
                     if len(tokens):
                         held.append(tokens)
                         size += len(tokens)
-                if size > 2_000_000:
+                if size > 1_000_000:
                     out += frequent()
                     held.clear()
                     size = 0
                 yield pa.RecordBatch.from_pylist(out, schema)
+            trim()
         yield pa.RecordBatch.from_pylist(frequent(), schema)
 
     schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("check", pa.int64()), ("hot", pa.binary()), ("hot_counts", pa.binary())])
@@ -101,7 +102,8 @@ def _hot_tokens(sets: DataFrame, n_docs: int) -> np.ndarray:
 
 
 def _token_rows(docs: DataFrame, hot: np.ndarray, copies: dict[int, int], buckets: int, k: int) -> DataFrame:
-    """(bucket, cls array, lengths, tokens) of runs of documents; tokens are 48 bits, hot ones 64 in buckets of their own."""
+    """(bucket, cls, sizes, lengths, tokens) of runs of documents, packed: classes, their set sizes, how many of their tokens
+    are in the bucket, and these. Tokens are 48 bits, hot ones 64 in buckets of their own."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -116,8 +118,8 @@ def _token_rows(docs: DataFrame, hot: np.ndarray, copies: dict[int, int], bucket
                             sets.append(tokens)
                 if not sets:
                     continue
-                tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-                cls_of = np.array(cls, np.int64)
+                tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets), dtype=np.int32), [len(s) for s in sets])
+                cls_of, size_of = np.array(cls, np.int64), np.array([len(s) for s in sets], np.int32)
                 bucket = ((tokens >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)
                 name = ((bucket & np.uint64(0xFFFF)) << np.uint64(48)) | (tokens & _LOW)
                 bucket = bucket.astype(np.int64)
@@ -130,62 +132,95 @@ def _token_rows(docs: DataFrame, hot: np.ndarray, copies: dict[int, int], bucket
                 out: list[tuple] = []
                 for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
                     b, part = int(bucket[x]), owner[x:y]
-                    first = np.r_[0, np.flatnonzero(np.diff(part)) + 1]
-                    lengths = np.diff(np.r_[first, len(part)]).astype(np.int32)
+                    # an entry for each class, and for each 65535 tokens of one
+                    first = np.flatnonzero(np.r_[True, np.diff(part) != 0])
+                    first = np.concatenate([np.arange(i, j, 0xFFFF) for i, j in zip(first, np.r_[first[1:], len(part)])]) if len(part) > 0xFFFF else first
+                    lengths = np.diff(np.r_[first, len(part)]).astype(np.uint16)
                     raw = name[x:y].tobytes() if b >= buckets else np.ascontiguousarray(name[x:y].view(np.uint8).reshape(-1, 8)[:, :6]).tobytes()
-                    out.append((b, cls_of[part[first]].tobytes(), lengths.tobytes(), raw))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), pa.binary(), pa.binary(), pa.binary()))], ["bucket", "cls", "lengths", "tokens"])
+                    out.append((b, cls_of[part[first]].tobytes(), size_of[part[first]].tobytes(), lengths.tobytes(), raw))
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 4))], ["bucket", "cls", "sizes", "lengths", "tokens"])
+            trim()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "bucket long, cls binary, lengths binary, tokens binary")
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "bucket long, cls binary, sizes binary, lengths binary, tokens binary")
 
 
-def _shared_rows(rows: DataFrame, buckets: int) -> DataFrame:
-    """(cls, tokens, counts) for each bucket and class: its tokens that another class has too, with the number of classes."""
+def _joined(part: pa.Table, column: str, kind: type) -> np.ndarray:
+    """The bytes of a binary column end to end, as they lie in Arrow's buffer."""
+    values = part.column(column).combine_chunks()
+    if not len(values):
+        return np.zeros(0, kind)
+    offsets = np.frombuffer(values.buffers()[1], np.int32)[values.offset : values.offset + len(values) + 1]
+    return np.frombuffer(values.buffers()[2], np.uint8)[offsets[0] : offsets[-1]].view(kind)
+
+
+def _shared_rows(rows: DataFrame, buckets: int, groups: int) -> DataFrame:
+    """(grp, cls, sizes, lengths, tokens, counts): for each bucket and group of classes, packed, the tokens of each class
+    that another class has too, with the number of classes."""
 
     def count(key: tuple, part: pa.Table) -> pa.Table:
         b = key[0].as_py()
-        join = lambda c, t: np.frombuffer(b"".join(part.column(c).to_pylist()), t)
-        owner = np.repeat(join("cls", np.int64), join("lengths", np.int32))
+        lengths = _joined(part, "lengths", np.uint16)
+        known, index = np.unique(_joined(part, "cls", np.int64), return_index=True)
+        size = _joined(part, "sizes", np.int32)[index]
+        owner = np.repeat(np.searchsorted(known, _joined(part, "cls", np.int64)).astype(np.int32), lengths)
         if b >= buckets:
-            token = join("tokens", np.uint64)
+            token = _joined(part, "tokens", np.uint64)
         else:
             wide = np.zeros((len(owner), 8), np.uint8)
-            wide[:, :6] = join("tokens", np.uint8).reshape(-1, 6)
+            wide[:, :6] = _joined(part, "tokens", np.uint8).reshape(-1, 6)
             token = wide.view(np.uint64).ravel() | np.uint64((b & 0xFFFF) << 48)
         order = np.lexsort((owner, token))
         token, owner = token[order], owner[order]
+        del order
         new = np.r_[True, (token[1:] != token[:-1]) | (owner[1:] != owner[:-1])][: len(token)]
-        token, owner = token[new], owner[new]  # copies of a class count once
+        if not new.all():
+            token, owner = token[new], owner[new]  # copies of a class count once
         starts = np.flatnonzero(np.r_[True, token[1:] != token[:-1]][: len(token)])
-        n = np.diff(np.r_[starts, len(token)])
-        count = np.repeat(n, n).astype(np.uint32) if b < buckets else np.full(len(token), _NEVER)
-        keep = count > 1
-        token, owner, count = token[keep], owner[keep], count[keep]
-        order = np.argsort(owner, kind="stable")
-        token, owner, count = token[order], owner[order], count[order]
-        cuts = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]][: len(owner)])
-        ends = np.r_[cuts[1:], len(owner)]
-        pieces = list(zip(cuts.tolist(), ends.tolist())) if len(owner) else []
-        return pa.table([pa.array(owner[cuts] if pieces else [], pa.int64()), pa.array([token[x:y].tobytes() for x, y in pieces], pa.binary()), pa.array([count[x:y].tobytes() for x, y in pieces], pa.binary())], names=["cls", "tokens", "counts"])
-
-    return rows.groupBy("bucket").applyInArrow(count, "cls long, tokens binary, counts binary")
-
-
-def _prefixes(grouped: DataFrame, percent: int) -> DataFrame:
-    """(cls, n, tokens, prefix): the shared tokens in order, and those of the rarest that prove a link, as far as shared."""
-
-    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            for cls, n, parts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                tokens = np.frombuffer(b"".join(p["tokens"] for p in parts), np.uint64)
-                counts = np.frombuffer(b"".join(p["counts"] for p in parts), np.uint32)
-                order = np.lexsort((tokens, counts))
-                need = n - -(-percent * n // 100) + 1 - (n - len(tokens))
-                out.append({"cls": cls, "n": n, "tokens": np.sort(tokens).tobytes(), "prefix": tokens[order[: max(0, need)]].view(np.int64).tolist()})
-            yield pa.RecordBatch.from_pylist(out, pa.schema([("cls", pa.int64()), ("n", pa.int64()), ("tokens", pa.binary()), ("prefix", pa.list_(pa.int64()))]))
-
-    return grouped.select("cls", "n", "parts").mapInArrow(rows, "cls long, n long, tokens binary, prefix array<long>")
+        n = np.diff(np.r_[starts, len(token)]).astype(np.uint32)
+        keep = np.repeat(n > 1, n) if b < buckets else np.ones(len(token), bool)
+        counts = np.repeat(n[n > 1], n[n > 1]) if b < buckets else np.full(len(token), _NEVER)
+        token, owner = token[keep], owner[keep]
+        group = (known % groups)[owner]
+        order = np.lexsort((owner, group))
+        token, owner, counts, group = token[order], owner[order], counts[order], group[order]
+        cuts = np.r_[np.flatnonzero(np.r_[True, group[1:] != group[:-1]][: len(group)]), len(group)]
+        out: list[tuple] = []
+        for x, y in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
+            first = np.r_[0, np.flatnonzero(np.diff(owner[x:y])) + 1]
+            mine = owner[x:y][first]
+            out.append((int(group[x]), known[mine].tobytes(), size[mine].tobytes(), np.diff(np.r_[first, y - x]).astype(np.int32).tobytes(), token[x:y].tobytes(), counts[x:y].tobytes()))
+        cols = list(zip(*out)) if out else [[]] * 6
+        trim()
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), *[pa.binary()] * 5))], names=["grp", "cls", "sizes", "lengths", "tokens", "counts"])
+
+    return rows.groupBy("bucket").applyInArrow(count, "grp long, cls binary, sizes binary, lengths binary, tokens binary, counts binary")
+
+
+def _prefixes(shared: DataFrame, percent: int) -> DataFrame:
+    """(cls, n, tokens, prefix) of the classes with enough shared tokens: these in order, and of the rarest as many as
+    prove a link, as far as shared."""
+
+    def rows(key: tuple, part: pa.Table) -> pa.Table:
+        lengths = _joined(part, "lengths", np.int32)
+        cls, size = _joined(part, "cls", np.int64), _joined(part, "sizes", np.int32)
+        tokens, counts = _joined(part, "tokens", np.uint64), _joined(part, "counts", np.uint32)
+        order = np.lexsort((tokens, counts, np.repeat(cls, lengths)))
+        tokens = tokens[order]
+        known, index = np.unique(cls, return_index=True)
+        held = np.zeros(len(known), np.int64)
+        np.add.at(held, np.searchsorted(known, cls), lengths)
+        ends = np.cumsum(held)
+        out = []
+        for c, n, s, e in zip(known.tolist(), size[index].tolist(), held.tolist(), ends.tolist()):
+            if 100 * s >= percent * n:
+                mine = tokens[e - s : e]
+                need = n - -(-percent * n // 100) + 1 - (n - s)
+                out.append((c, n, np.sort(mine).tobytes(), mine[: max(0, need)].view(np.int64).tolist()))
+        cols = list(zip(*out)) if out else [[]] * 4
+        trim()
+        return pa.table([pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64())))], names=["cls", "n", "tokens", "prefix"])
+
+    return shared.groupBy("grp").applyInArrow(rows, "cls long, n long, tokens binary, prefix array<long>")
 
 
 class SignatureTree:
@@ -282,6 +317,7 @@ def _forest(rows: DataFrame, by: str, percent: int) -> DataFrame:
             sets = [np.frombuffer(t, np.uint64) for t in got.column("tokens").to_pylist()]
             more = [got.column(c).to_numpy() if c in extra else None for c in ("label", "side")]
             out += [(int(cls[i]), int(cls[j])) for i, j in tree_links(sets, got.column("n").to_numpy(), *more, percent)]
+        trim()
         return pa.table([pa.array([x for x, _ in out], pa.int64()), pa.array([y for _, y in out], pa.int64())], names=["a", "b"])
 
     return rows.select(by, "cls", "n", "tokens", "cell", *extra).groupBy(by).applyInArrow(links, "a long, b long")
@@ -319,16 +355,15 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, ce
     per_doc = sets.where("n_shingles is not null").select("doc_id", "n_shingles", "cls", "check")
     classes = per_doc.where("cls is not null").groupBy("cls").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"), F.min("check").alias("c0"), F.max("check").alias("c1"))
     classes = materialize(classes, "ngram-classes")
-    n_docs, total, clash = classes.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("c0") != F.col("c1"))).first()
+    n_classes, n_docs, total, clash = classes.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0)), F.count_if(F.col("c0") != F.col("c1"))).first()
     if clash:
         raise ValueError("two sets share a 64-bit class id")
     # at most 1000 classes can hold a thousandth of all documents each
     large = {r.cls: r.rep for r in classes.where((F.col("copies") >= max(64, n_docs / 1000)) & F.col("rep").isNotNull()).select("cls", "rep").collect()}
     buckets = max(12, -(-total // bucket))
-    shared = _shared_rows(_token_rows(docs, _hot_tokens(sets, n_docs), large, buckets, words), buckets)
-    grouped = shared.groupBy("cls").agg(F.collect_list(F.struct("tokens", "counts")).alias("parts"), F.sum(F.octet_length("tokens") / 8).alias("s"))
-    grouped = grouped.join(classes.select("cls", "n"), "cls").where(F.col("s") * 100 >= F.col("n") * percent)
-    left = materialize(_prefixes(grouped, percent), "ngram-shared")
+    groups = max(12, -(-n_classes // GROUP))
+    tokens = _token_rows(docs, _hot_tokens(sets, n_docs), large, buckets, words)
+    left = materialize(_prefixes(_shared_rows(tokens, buckets, groups), percent), "ngram-shared")
 
     posts = left.select(F.explode("prefix").alias("token"), "cls")
     firsts = posts.groupBy("token").agg(F.min("cls").alias("low"), F.count("*").alias("c")).where("c > 1")
