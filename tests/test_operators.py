@@ -49,6 +49,19 @@ def test_releases_sort_as_people_read(spark):
     assert listed[-2:] == ["1.10", "alpha"]
 
 
+@pytest.mark.parametrize("block", [7, 1 << 16])
+def test_places_of_all_rows(spark, block):
+    ids = [*random.Random(1).sample(range(5000), 1000), -3, None]
+    names = ["v2", "release-v10", "1.10", "1.9", None]
+    data = [(i, names[(i or 0) % 5]) for i in ids]
+    rank = {n: k for k, n in enumerate([None, "1.9", "1.10", "v2", "release-v10"])}
+    want = sorted(data, key=lambda r: (rank[r[1]], r[0] is not None, r[0] or 0))
+    df = spark.createDataFrame(data, "id long, r string").repartition(5)
+    got = sets.place(df, release_order(F.col("r")), "id", block).orderBy("place").collect()
+    assert [(r.id, r.r) for r in got] == want
+    assert [r.place for r in got] == list(range(1, len(data) + 1))
+
+
 def links_of(spark, left, right, rules):
     cols = "source_observation_id string, event_time_utc timestamp, latitude double, longitude double, depth_km double, magnitude double, source_record_key string, quality_status string, determining_agency_code string"
     return resolve.evaluate_links(spark.createDataFrame(left, cols), spark.createDataFrame(right, cols), rules)

@@ -85,6 +85,21 @@ def month_closure(affected: set[str], *edge_frames: DataFrame) -> set[str]:
     return out
 
 
+def place(df: DataFrame, key: Column, order: str, block: int = 1 << 16) -> DataFrame:
+    """df with place: each row's number from 1 by key, then by the number in `order`.
+
+    A row's place is its number in its group plus the rows of earlier groups. A group is a key and a block of `order`, so
+    the only window without a partition is over a count a group, and no key's rows are sorted as a whole.
+    """
+    group = ["_key", "_block"]
+    rows = df.withColumns({"_key": key, "_block": F.floor(F.col(order) / block)})
+    held = rows.groupBy(*group).agg(F.count("*").alias("n"))
+    starts = held.select(*(F.col(g).alias(f"{g}s") for g in group), (F.sum("n").over(Window.orderBy(*group)) - F.col("n")).alias("_start"))
+    inside = rows.withColumn("_inside", F.row_number().over(Window.partitionBy(*group).orderBy(order)))
+    same = F.col("_key").eqNullSafe(F.col("_keys")) & F.col("_block").eqNullSafe(F.col("_blocks"))
+    return inside.join(starts, same).select(*df.columns, (F.col("_start") + F.col("_inside")).alias("place"))
+
+
 def jaccard(a: Column, b: Column) -> Column:
     """Of two array columns as sets; 1 if both are empty."""
     union = F.size(F.array_union(a, b))

@@ -138,13 +138,22 @@ def dedup_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup.metrics(dedup.classify_revisions(observations(spark, sf_dir)))
 
 
+def _release() -> Column:
+    i = F.col("event_id")
+    return F.when(i % 3 == 0, F.concat(F.lit("release-v"), i % 40)).otherwise(F.concat(F.floor(i % 40 / 10), F.lit("."), i % 10))
+
+
 @query("SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, CASE WHEN event_id % 3 = 0 THEN event_id % 40 ELSE event_id % 40 // 10 END, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 10 END, event_id) AS place FROM events WHERE event_id < 500")
 def release_natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered releases (v2 before v10) after dotted ones (1.9 before 2.0)."""
-    i = F.col("event_id")
-    name = F.when(i % 3 == 0, F.concat(F.lit("release-v"), i % 40)).otherwise(F.concat(F.floor(i % 40 / 10), F.lit("."), i % 10))
+    """Numbered releases (v2 before v10) after dotted ones (1.9 before 2.0); a sample, release_natural_sort_all has all events."""
     rows = table(spark, sf_dir, "events").where("event_id < 500")
-    return rows.select("event_id", F.row_number().over(Window.orderBy(release_order(name), "event_id")).alias("place"))
+    return rows.select("event_id", F.row_number().over(Window.orderBy(release_order(_release()), "event_id")).alias("place"))
+
+
+@query("SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, CASE WHEN event_id % 3 = 0 THEN event_id % 40 ELSE event_id % 40 // 10 END, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 10 END, event_id) AS place FROM events")
+def release_natural_sort_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event's place, by prefix sums over the release names."""
+    return sets.place(table(spark, sf_dir, "events").select("event_id"), release_order(_release()), "event_id")
 
 
 @query("SELECT event_id, 'obs_' || sha256('USGS|' || event_id || '|1:' || event_type) AS observation_id, 'evt_' || substr(sha256('CANONICAL|USGS|' || event_id), 1, 32) AS canonical_id, 'lnk_' || substr(sha256('link_v1.0|' || least(event_type, 'm') || '|' || greatest(event_type, 'm')), 1, 32) AS link_id FROM events")
