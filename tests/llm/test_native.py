@@ -165,6 +165,16 @@ def test_links_to_blocked_hosts_block(spark):
     assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "allow"}
 
 
+@pytest.mark.parametrize("farm", [1, 2, 100])
+def test_farms_are_blocked_whatever_their_size(spark, farm):
+    """Hosts that link to one blocked host only are blocked however many they are; a third of a host's links doesn't do."""
+    link = lambda *hosts: "".join(f"<a href='https://{h}/x'>" for h in hosts)
+    pages = [(0, "http://spam.net/es/1", None), *((i, f"http://farm{i}.org/1", link("spam.net")) for i in range(1, farm + 1))]
+    pages += [(-1, "http://mixed.org/1", link("spam.net", "one.org", "two.org")), (-2, "http://one.org/", "")]
+    got = {r.page_id: r.verdict for r in urlfilter.judge(spark.createDataFrame(pages, "page_id long, url string, html string")).collect()}
+    assert got == {i: "block" if i >= 0 else "allow" for i, *_ in pages}
+
+
 def test_pages_empty(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 

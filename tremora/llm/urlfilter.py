@@ -2,7 +2,8 @@
 
 Only DataFrame functions. Rules are configuration, a list of at most MAX_RULES that becomes one CASE expression. Hosts
 that no rule decides get a verdict from personalised PageRank: trust flows along links from trusted seeds, distrust
-flows against links from blocked seeds, and a host is blocked when its distrust exceeds its trust by a threshold.
+flows against links from blocked seeds, and a host is blocked when its distrust exceeds its trust by a threshold. A host
+takes distrust by the share of its own links, so the verdict doesn't depend on how many others link to a blocked host.
 
 Defined cases: a url that is null or has no ``://`` has an empty host and path, fits no rule and is allowed; a null html
 has no links; repeated pages count as often as they occur; two rules of equal length that both fit: block wins.
@@ -60,17 +61,17 @@ def host_edges(pages: DataFrame) -> DataFrame:
     return links.where("src <> dst").groupBy("src", "dst").agg(F.count("*").alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, restart: float = RESTART) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS, restart: float = RESTART, by_linker: bool = False) -> DataFrame:
     """(host, trust, distrust) of the hosts in seeds (host, good, bad) and edges (src, dst, n).
 
     A step is trust(v) = restart * good(v) + (1 - restart) * sum over links u -> v of trust(u) * share of u's links, and
-    the same against the links for distrust with each host's share of the links into v. Hosts outside the graph keep
-    restart * seed. Every fifth step is written to the shared folder, which bounds the plan and what a loss costs.
+    the same against the links for distrust with each host's share of the links into v, or by_linker with v's share of
+    the links out of each host. Hosts outside the graph keep restart * seed. Every fifth step is written to the shared folder, which bounds the plan and what a loss costs.
     """
     out = edges.groupBy(F.col("src").alias("s_")).agg(F.sum("n").alias("out"))
     into = edges.groupBy(F.col("dst").alias("d_")).agg(F.sum("n").alias("into"))
     shares = edges.join(out, F.col("src") == F.col("s_")).join(into, F.col("dst") == F.col("d_"))
-    shares = materialize(shares.select("src", "dst", (F.col("n") / F.col("out")).alias("forth"), (F.col("n") / F.col("into")).alias("back")), "host-edges")
+    shares = materialize(shares.select("src", "dst", (F.col("n") / F.col("out")).alias("forth"), (F.col("n") / F.col("out" if by_linker else "into")).alias("back")), "host-edges")
     nodes = shares.select(F.col("src").alias("host")).union(shares.select("dst")).union(seeds.select("host")).distinct()
     base = nodes.join(seeds, "host", "left").select("host", (restart * F.coalesce("good", F.lit(0.0))).alias("trust"), (restart * F.coalesce("bad", F.lit(0.0))).alias("distrust"))
     if shares.isEmpty():  # every sum over links is empty, so each step gives the first one again
@@ -94,7 +95,7 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, iterations
     named = named.withColumns({"rule": rule, "verdict": ruled})
     seeds = named.where("host <> ''").groupBy("host").agg(*(F.avg((F.coalesce("verdict", F.lit("")) == k).cast("double")).alias(c) for k, c in (("allow", "good"), ("block", "bad"))))
     seeds = materialize(seeds, "host-shares")
-    score = propagate(host_edges(named), seeds, iterations)
+    score = propagate(host_edges(named), seeds, iterations, by_linker=True)
     score = score.select("host", F.round("trust", 12).alias("trust"), F.round("distrust", 12).alias("distrust"))
     judged = named.drop("html").join(score, "host", "left")
     by_method = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > THRESHOLD, "block").otherwise("allow")
@@ -102,7 +103,10 @@ def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, iterations
 
 
 def oracle() -> str:
-    """The same in DuckDB's SQL, each step of the propagation a common table expression."""
+    """The same in DuckDB's SQL, each step of the propagation a common table expression.
+
+    It shares distrust out over a host's in-links, which judge() no longer does: both agree where hosts don't link to others.
+    """
     link = LINK.replace("'", "''")
     cases = lambda pick: " ".join(f"WHEN (host = '{h}' OR host LIKE '%.{h}') AND starts_with(path, '/{p}') THEN '{pick(k, t)}'" for k, t in sorted(RULES, key=lambda r: -len(r[1])) for h, p in [re.match(r"([^/]*)/(.*)", t).groups()])
     steps = ["s0 AS MATERIALIZED (SELECT * FROM base)"]
