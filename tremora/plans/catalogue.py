@@ -503,11 +503,20 @@ def coverage_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("WITH RECURSIVE ed AS (SELECT DISTINCT strftime(a.o_orderdate, '%Y%m') AS x, strftime(b.o_orderdate, '%Y%m') AS y FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderkey % 400 = 0), sy AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed), cl(month) AS (SELECT '199701' UNION SELECT y FROM cl JOIN sy ON month = x) SELECT month FROM cl")
 def month_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months that links from every 400th order to the next connect to one; month_closure_all links all orders."""
     o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMM").alias("month"))
     links = o.where("id % 400 = 0").select(F.col("id").alias("left_id"), (F.col("id") + 1).alias("right_id"))
     return spark.createDataFrame([(m,) for m in sorted(sets.month_closure({"199701"}, sets.month_edges(links, o)))], "month string")
 
 
+@query("WITH RECURSIVE ed AS (SELECT DISTINCT strftime(a.o_orderdate, '%Y%m') AS x, strftime(b.o_orderdate, '%Y%m') AS y FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1), sy AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed), cl(month) AS (SELECT '199701' UNION SELECT y FROM cl JOIN sy ON month = x) SELECT month FROM cl")
+def month_closure_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with links from every order."""
+    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMM").alias("month"))
+    links = o.select(F.col("id").alias("left_id"), (F.col("id") + 1).alias("right_id"))
+    return spark.createDataFrame([(m,) for m in sorted(sets.month_closure({"199701"}, sets.month_edges(links, o)))], "month string")
+
+
 @query("WITH s AS (SELECT o_custkey, list(DISTINCT o_orderpriority) AS a, list(DISTINCT CASE WHEN o_orderkey % 2 = 0 THEN o_orderpriority END) FILTER (o_orderkey % 2 = 0) AS b FROM orders GROUP BY 1) SELECT o_custkey, round(len(list_intersect(a, coalesce(b, []))) / len(list_distinct(list_concat(a, coalesce(b, []))))::DOUBLE, 6) AS jaccard FROM s")
 def jaccard_sets(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = F.col("o_orderpriority")
