@@ -81,7 +81,16 @@ _LAWS = " UNION ALL ".join(
 
 @query(f"WITH {EVENTS} {_LAWS}")
 def window_law_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = catalogue(spark, sf_dir).where("magnitude >= 4")
+    return _law_dims(catalogue(spark, sf_dir).where("magnitude >= 4"))
+
+
+@query(f"WITH {EVENTS} {_LAWS.replace(' WHERE mag >= 4', '')}")
+def window_law_dims_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same for every event."""
+    return _law_dims(catalogue(spark, sf_dir))
+
+
+def _law_dims(rows: DataFrame) -> DataFrame:
     dims = F.array(*(F.struct(F.lit(n).alias("law"), *(x.alias(k) for k, x in law.dimensions(F.col("magnitude"), F.col("latitude")).items())) for n, law in geo.LAWS.items()))
     out = rows.select(F.col("canonical_event_id").alias("event_id"), F.explode(dims).alias("d")).select("event_id", "d.*")
     return out.select("event_id", "law", r("search_radius_km", 4).alias("search_radius_km"), r("post_window_hours", 3).alias("post_window_hours"), r("pre_window_hours", 3).alias("pre_window_hours"))
@@ -488,12 +497,28 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.snapshot_diff(o.where("o_orderkey % 3 > 0"), o.where("o_orderkey % 4 > 0").withColumn("o_totalprice", price))
 
 
+@query("WITH a AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'), b AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')) SELECT *, 'OLD' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'NEW' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
+def snapshot_diff_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of two versions of all orders: some are new, some gone, some have another price, and none is in neither."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority")
+    price = F.when(F.col("o_orderpriority") == "5-LOW", F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
+    old, new = o.where("o_orderstatus <> 'P'"), o.where("not (o_orderstatus = 'F' and o_orderpriority = '1-URGENT')").withColumn("o_totalprice", price)
+    return sets.snapshot_diff(*(v.select("o_orderkey", "o_totalprice") for v in (old, new)))
+
+
 @query("SELECT p_partkey, p_brand FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 2 <> 0")
 def dim_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     return sets.merge_dimension(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 3 = 0"), "p_partkey")
 
 
+@query("SELECT p_partkey, p_brand FROM part")
+def dim_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Into the parts of all brands but one, the whole table: every part is in the result."""
+    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+    return sets.merge_dimension(p.where("p_brand <> 'Brand#7'"), p, "p_partkey")
+
+
 @query("WITH i AS (SELECT o_custkey % 50 AS k, CAST(o_orderdate AS DATE) AS s, CAST(o_orderdate AS DATE) + 3 AS e FROM orders), m AS (SELECT *, max(e) OVER (PARTITION BY k ORDER BY s, e ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before FROM i), g AS (SELECT *, sum(CASE WHEN s <= before THEN 0 ELSE 1 END) OVER (PARTITION BY k ORDER BY s, e ROWS UNBOUNDED PRECEDING) AS isl FROM m) SELECT k, min(s) AS island_start, max(e) AS island_end, count(*) AS parts FROM g GROUP BY k, isl")
 def coverage_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = F.to_date("o_orderdate")
