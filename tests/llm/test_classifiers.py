@@ -165,3 +165,15 @@ def test_nothing_to_learn_from(spark):
     assert {r.lang_pred for r in langid.identify(docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
     empty = spark.createDataFrame([], DOCS)
     assert langid.identify(empty).collect() == [] and toxicity.score(empty, toxicity.fit(empty, labels)).collect() == []
+
+
+@pytest.mark.parametrize("few", [0, 100, 300])
+def test_small_parts_of_long_texts_are_found(few):
+    """100 or 300 words of the third language in 20,000, behind a larger proportion that the words don't bear out."""
+    like = np.full((20_000, 4), 1e-6, np.float32)
+    like[:, 0], like[:, 1] = 1, 0.5
+    like[:few] = [1e-4, 1e-6, 1, 1e-6]
+    p, chosen = langid.choose(langid.proportions(like, np.array([len(like)]))[0], like)
+    assert chosen == ([0, 2] if few else [0])
+    if few:
+        assert p[2] == pytest.approx(few / len(like), rel=0.05)

@@ -2,7 +2,8 @@
 
 Each language has a character trigram model of words with hashed counts. A document is a mixture: a word comes from
 language l with the proportion of l, and EM finds the proportions from the words' likelihoods. Which languages count is
-chosen by penalised likelihood: the set of the k largest proportions that maximises log likelihood - PENALTY * k * log(words).
+chosen by penalised likelihood: from the largest proportion down, each of the k languages in the set has to raise
+log likelihood - PENALTY * k * log(words). However small its proportion, a language is tried.
 
 The models are fitted on about SAMPLE documents of each language, chosen by a hash, which bounds them.
 
@@ -28,8 +29,6 @@ MOST_LANGUAGES = 500
 BUCKETS = 1 << 16
 ROUNDS = 8
 PENALTY = 2.0
-#: Share below which a language is not tried as a member of the set.
-LEAST = 0.02
 _SMOOTH = 0.05
 
 
@@ -115,15 +114,25 @@ def proportions(like: np.ndarray, sizes: np.ndarray) -> np.ndarray:
 
 def choose(p: np.ndarray, like: np.ndarray) -> tuple[np.ndarray, list[int]]:
     """Proportions and the chosen set, largest first, from the proportions over all languages and the words' likelihoods."""
-    order = [int(i) for i in np.argsort(-p, kind="stable") if p[i] >= LEAST]
+    order = [int(i) for i in np.argsort(-p, kind="stable") if p[i] > 0]
     if len(order) < 2:
         return p, [int(np.argmax(p))]
-    best, chosen, parts = -np.inf, order[:1], np.ones(1)
-    for k in range(1, len(order) + 1):
-        q, ll = _em(like[:, order[:k]].astype(np.float64))
-        if (value := ll - PENALTY * k * np.log(len(like) + 1)) <= best:
-            break
-        best, chosen, parts = value, order[:k], q
+    n, penalty = len(like), PENALTY * np.log(len(like) + 1)
+
+    def most() -> np.ndarray:
+        """What each language can add to the log likelihood at most: it is concave, so no more than along its slope."""
+        slope = (1 / (like[:, chosen] @ parts)).astype(np.float32) @ like - n
+        return np.maximum(slope, slope[chosen].max())
+
+    chosen, parts, ll = order[:1], *_em(like[:, order[:1]].astype(np.float64))
+    gain = most()
+    for i in order[1:]:
+        if gain[i] <= penalty:
+            continue
+        q, more = _em(like[:, [*chosen, i]].astype(np.float64))
+        if more - ll > penalty:
+            chosen, parts, ll = [*chosen, i], q, more
+            gain = most()
     if len(chosen) == 1:
         return p, chosen
     out = np.zeros(len(p))
