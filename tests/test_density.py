@@ -192,3 +192,91 @@ def test_sweep(spark, sf):
     out = models.sweep(_vectors(spark, sf), [models.ModelConfig("DBSCAN", eps=e) for e in (0.05, 0.2)])
     noise = {r.config_index: r.n for r in out.groupBy("config_index").agg(F.avg("noise_ratio").alias("n")).collect()}
     assert set(noise) == {0, 1}
+
+
+def plain_dbcv(x, labels):
+    """The index from the paper's definitions, by full matrices; the tree grows by the first of equal edges."""
+    dim, parts = x.shape[1], {}
+    for c in sorted(set(labels.tolist()) - {-1}):
+        p = x[labels == c]
+        d = np.linalg.norm(p[:, None] - p[None], axis=2)
+        core = np.array([(sum(d[i, j] ** -dim for j in range(len(p)) if j != i) / (len(p) - 1)) ** (-1 / dim) for i in range(len(p))])
+        reach = np.maximum(np.maximum(d, core[:, None]), core[None])
+        inside, tree = [0], []
+        while len(inside) < len(p):
+            _, j, i = min((reach[i, j], j, i) for i in inside for j in range(len(p)) if j not in inside)
+            tree.append((i, j))
+            inside.append(j)
+        inner = [i for i in range(len(p)) if sum(i in e for e in tree) > 1]
+        parts[c] = p[inner], core[inner], max(reach[e] for e in tree if set(e) <= set(inner))
+    total = 0.0
+    for c, (p, a, sparse) in parts.items():
+        gap = min(max(np.linalg.norm(u - v), s, t) for o, (q, b, _) in parts.items() if o != c for u, s in zip(p, a) for v, t in zip(q, b))
+        total += (labels == c).sum() / len(x) * (gap - sparse) / max(gap, sparse)
+    return total
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_dbcv_is_the_papers(seed):
+    x = np.concatenate([blobs(seed, CENTRES, 12, 0.5), np.random.default_rng(seed).uniform(-1, 5, (6, 4))])
+    labels = np.r_[np.repeat([0, 1, 2], 12), np.full(6, -1)]
+    assert density.dbcv(x, labels) == (pytest.approx(plain_dbcv(x, labels), abs=1e-4), "VALID_DBCV_SCORE")
+
+
+def test_dbcv_of_equal_points_and_pairs():
+    assert density.dbcv(np.zeros((6, 4)), np.repeat([0, 1], 3)) == (None, "METRIC_FIT_FAILED")
+    score, reason = density.dbcv(np.array([[0.0, 0], [1, 0], [9, 0], [10, 0]]), np.array([0, 0, 1, 1]))
+    assert reason == "VALID_DBCV_SCORE" and score == pytest.approx(8 / 9, abs=1e-4)  # the first point stands for a pair
+
+
+def test_distances_by_runs(monkeypatch):
+    x = np.concatenate([blobs(7, CENTRES), np.random.default_rng(7).uniform(-1, 5, (20, 4))])
+    whole = density.dbscan(x, 0.3, 3), density.dbcv(x, density.dbscan(x, 0.3, 3)), density.core_distances(x, 3).tolist()
+    monkeypatch.setattr(density, "HELD", 300)
+    assert (density.dbscan(x, 0.3, 3) == whole[0]).all()
+    assert (density.dbcv(x, whole[0]), density.core_distances(x, 3).tolist()) == whole[1:]
+
+
+@pytest.mark.parametrize("p", [0.2, 0.9999999, 1.0, 1.7, 2.5])
+def test_omori_count_is_the_integral(p):
+    t, k, c = np.array([0.0, 1e-3, 1.0, 5e4]), 7.0, 1e-4
+    closed = k * np.log(1 + t / c) if abs(1 - p) < 1e-6 else k * ((t + c) ** (1 - p) - c ** (1 - p)) / (1 - p)
+    assert density.omori_count(t, k, c, p) == pytest.approx(closed, rel=1e-5 if abs(1 - p) < 1e-5 else 1e-9)
+
+
+def _window_rows(spark, x, shock=0, mag=8.0):
+    rows = [(shock, i, "MAINSHOCK" if i == shock else "POST", mag, *map(float, v)) for i, v in enumerate(x)]
+    return spark.createDataFrame(rows, "mainshock_event_id long, candidate_event_id long, relative_time_role string, mainshock_magnitude double, x_scaled double, y_scaled double, time_scaled double, magnitude_scaled double")
+
+
+def test_stability_takes_the_windows_own_parameters(spark):
+    from tremora.operators.features import VECTOR
+
+    x = np.concatenate([blobs(5, CENTRES[:1], 4, 0.05), blobs(6, CENTRES[1:], 60, 0.6)])
+    rows = _window_rows(spark, x).toDF("mainshock_event_id", "candidate_event_id", "relative_time_role", "mainshock_magnitude", *VECTOR)
+    every = {a: models.ModelConfig(a, min_samples=2) for a in ("HDBSCAN_GLOBAL", "HDBSCAN_ADAPTIVE")}
+    labels = {a: sorted((r.candidate_event_id, r.cluster_id) for r in models.cluster_windows(rows, c).collect()) for a, c in every.items()}
+    assert labels["HDBSCAN_GLOBAL"] != labels["HDBSCAN_ADAPTIVE"]
+    found = {a: evaluate.stability(rows, c, sigma=0.2).drop("mainshock_event_id").first() for a, c in every.items()}
+    assert found["HDBSCAN_GLOBAL"] != found["HDBSCAN_ADAPTIVE"]
+    # by hand: size and samples of 124 candidates and magnitude 8, draws in the order of ids without the mainshock
+    size = min(25, int(3 + 1.5 * math.log(125) + 2.5))
+    runs = []
+    for r in range(5):
+        rng, y = np.random.RandomState(42 + 100 * r), x.copy()
+        for i in range(1, len(y)):
+            for j in range(4):
+                y[i, j] += rng.normal(0.0, 0.2)
+        label, _ = density.hdbscan(y, size, int(0.6 * size))
+        runs.append((label, set(np.flatnonzero((label == label[0]) & (label >= 0)))))
+    pairs = list(itertools.combinations(runs, 2))
+    assert found["HDBSCAN_ADAPTIVE"].mean_ari == pytest.approx(np.mean([density.adjusted_rand(a, b) for (a, _), (b, _) in pairs]))
+    assert found["HDBSCAN_ADAPTIVE"].mean_jaccard == pytest.approx(np.mean([density.jaccard(a, b) for (_, a), (_, b) in pairs]))
+
+
+def test_stability_without_the_mainshock(spark):
+    from tremora.operators.features import VECTOR
+
+    rows = _window_rows(spark, blobs(5, CENTRES[:1], 9)).toDF("mainshock_event_id", "candidate_event_id", "relative_time_role", "mainshock_magnitude", *VECTOR)
+    got = evaluate.stability(rows.where("candidate_event_id > 0"), models.ModelConfig("DBSCAN")).first()
+    assert (got.reason, got.valid_repeats, got.failed_repeats, got.mean_jaccard) == ("METRIC_NOT_APPLICABLE", 0, 0, None)

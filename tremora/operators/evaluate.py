@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from . import density
 from .features import VECTOR
-from .models import ModelConfig
+from .models import ModelConfig, fit_window, with_parameters
 
 REPEATS, SIGMA, SEED = 5, 0.01, 42
 SUPERVISED = ("accuracy", "precision", "recall", "f1", "roc_auc", "confusion_matrix")
@@ -46,41 +46,48 @@ def omori_fits(feats: DataFrame, members: DataFrame) -> DataFrame:
 def stability(feats: DataFrame, config: ModelConfig, repeats: int = REPEATS, sigma: float = SIGMA, seed: int = SEED) -> DataFrame:
     """How far a window's members and clusters hold when features are jittered: pairwise Jaccard and adjusted Rand.
 
-    Candidates are sorted by id before the generator is drawn from, so results don't depend on the order of rows. The
-    mainshock isn't moved. A repeat that fails is counted, never replaced.
+    Each repeat of a window is a group of its own, fitted with the window's parameters; only labels meet again. Noise is
+    drawn in the order of candidate ids, four numbers a candidate and none for the mainshock, which isn't moved. A repeat
+    that fails is counted, never replaced. Without its mainshock a window has nothing to compare: METRIC_NOT_APPLICABLE;
+    with fewer than two valid repeats the reason is METRIC_FIT_FAILED.
     """
     if repeats < 2 or not np.isfinite(sigma) or sigma < 0:
         raise ValueError("stability takes at least 2 repeats and a finite sigma >= 0")
     kind = dict(feats.dtypes)["mainshock_event_id"]
     stats = [f"{s}_{m}" for m in ("jaccard", "ari") for s in ("mean", "std", "min", "max")]
+    rows = with_parameters(feats, config).withColumn("repeat", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
 
     def one(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("candidate_event_id", kind="stable").reset_index(drop=True)
-        x = pdf[list(VECTOR)].to_numpy(float)
-        main = (pdf["candidate_event_id"] == pdf["mainshock_event_id"]).to_numpy()
-        runs, failed = [], 0
-        for r in range(repeats):
-            moved = x + np.where(main[:, None], 0.0, np.random.RandomState(seed + 100 * r).normal(0.0, sigma, x.shape)) if sigma else x
+        shock, r = pdf["mainshock_event_id"].iloc[0], int(pdf["repeat"].iloc[0])
+        moves = (pdf["candidate_event_id"] != shock).to_numpy()
+        out = {"mainshock_event_id": shock, "whole": not moves.all(), "labels": None, "members": None}
+        if out["whole"]:
+            x = pdf[list(VECTOR)].to_numpy(float)
+            if sigma:
+                x[moves] += np.random.RandomState(seed + 100 * r).normal(0.0, sigma, (moves.sum(), x.shape[1]))
             try:
-                if config.algorithm == "WINDOW":
-                    label, member = np.full(len(x), -1), pdf["relative_time_role"].isin(["MAINSHOCK", "POST"]).to_numpy()
-                else:
-                    label = density.dbscan(moved, config.eps, config.min_samples) if config.algorithm == "DBSCAN" else density.hdbscan(moved, config.min_cluster_size, config.min_samples)[0]
-                    own = label[main][0] if main.any() else -1
-                    member = (label == own) & (label >= 0)
-                runs.append((set(pdf.loc[member, "candidate_event_id"]), label))
+                out["labels"], out["members"] = fit_window(config, x, ~moves, pdf["relative_time_role"].to_numpy(), int(pdf["size"].iloc[0]), int(pdf["samples"].iloc[0]))
             except (ValueError, FloatingPointError):
-                failed += 1
+                pass
+        return pd.DataFrame([out])
+
+    fitted = rows.groupBy("mainshock_event_id", "repeat").applyInPandas(one, f"mainshock_event_id {kind}, whole boolean, labels array<int>, members array<boolean>")
+
+    def compare(pdf: pd.DataFrame) -> pd.DataFrame:
+        runs = [(np.array(a), frozenset(np.flatnonzero(m))) for a, m in zip(pdf["labels"], pdf["members"]) if a is not None]
         pairs = list(itertools.combinations(runs, 2))
-        values = {"jaccard": [density.jaccard(a, b) for (a, _), (b, _) in pairs], "ari": [density.adjusted_rand(a, b) for (_, a), (_, b) in pairs]}
-        row = {"mainshock_event_id": pdf["mainshock_event_id"].iloc[0], "valid_repeats": len(runs), "failed_repeats": failed, "valid_pairs": len(pairs)}
+        values = {"jaccard": [density.jaccard(a, b) for (_, a), (_, b) in pairs], "ari": [density.adjusted_rand(a, b) for (a, _), (b, _) in pairs]}
+        whole = bool(pdf["whole"].iloc[0])
+        row = {"mainshock_event_id": pdf["mainshock_event_id"].iloc[0], "valid_repeats": len(runs), "failed_repeats": len(pdf) - len(runs) if whole else 0, "valid_pairs": len(pairs)}
+        row["reason"] = None if pairs else "METRIC_FIT_FAILED" if whole else "METRIC_NOT_APPLICABLE"
         for m, v in values.items():
             for name, f in (("mean", np.mean), ("std", np.std), ("min", np.min), ("max", np.max)):
                 row[f"{name}_{m}"] = float(f(v)) if v else None
         return pd.DataFrame([row])
 
-    schema = f"mainshock_event_id {kind}, valid_repeats int, failed_repeats int, valid_pairs int, " + ", ".join(f"{s} double" for s in stats)
-    return feats.select("mainshock_event_id", "candidate_event_id", "relative_time_role", *VECTOR).groupBy("mainshock_event_id").applyInPandas(one, schema)
+    schema = f"mainshock_event_id {kind}, valid_repeats int, failed_repeats int, valid_pairs int, reason string, " + ", ".join(f"{s} double" for s in stats)
+    return fitted.groupBy("mainshock_event_id").applyInPandas(compare, schema)
 
 
 def evaluate_model(feats: DataFrame, members: DataFrame, summary: DataFrame) -> DataFrame:
