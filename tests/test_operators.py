@@ -297,9 +297,48 @@ def test_feature_reasons(spark):
         "ML_DUPLICATE_GRAIN": cands.unionByName(cands.where(hit)),
         "ML_CANDIDATE_COUNT_CONFLICT": cands.where(~hit),
         "ML_CANDIDATE_LINEAGE_CONFLICT": cands.withColumn("mc_value", F.when(hit, 1.0).otherwise(F.col("mc_value"))),
+        "ML_INVALID_ID": cands.withColumn("candidate_event_id", F.when(hit, " ").otherwise(F.col("candidate_event_id"))),
+        "ML_MISSING_MAINSHOCK": cands.withColumn("mainshock_event_id", F.when(hit, "nobody").otherwise(F.col("mainshock_event_id"))),
+        "ML_SELF_PRESENCE_INVALID": cands.where(~F.col("is_mainshock")),
+        "ML_SELF_SOURCE_MISMATCH": cands.withColumn("candidate_depth_km", F.when(F.col("is_mainshock"), F.col("candidate_depth_km") + 1).otherwise(F.col("candidate_depth_km"))),
+        "ML_WINDOW_MEMBERSHIP_INVALID": cands.withColumn("candidate_latitude", F.when(hit, F.col("candidate_latitude") + 9).otherwise(F.col("candidate_latitude"))),
     }
     for code, bad in cases.items():
         assert code in {r.reason for r in validate.reason_counts(features.features(g, bad), "feature_reason_codes").collect()}, code
+    spoilt = {
+        "ML_RESOURCE_LIMIT_EXCEEDED": g.withColumn("resource_guard_status", F.lit("FLAGGED")),
+        "ML_MAINSHOCK_RULE_INVALID": g.withColumn("mainshock_depth_km", F.lit(10.0)),
+        "ML_INVALID_SCALED_FEATURE": g.withColumn("search_radius_km", F.lit(0.0)),
+    }
+    for code, bad in spoilt.items():
+        assert code in {r.reason for r in validate.reason_counts(features.features(bad, cands, features.Scaling(mode="ADAPTIVE_WINDOW")), "feature_reason_codes").collect()}, code
+
+
+def test_windows_without_features_are_refused(spark):
+    _, df = catalogue(spark)
+    mains = windows.mainshocks(df, SEL)
+    cands = windows.candidates(df, mains, SEL)
+    features.require_windows(mains, cands)
+    one = mains.first().mainshock_event_id
+    with pytest.raises(ValueError, match="ML_EMPTY_WINDOW"):
+        features.require_windows(mains, cands.where(F.col("mainshock_event_id") != one))
+    with pytest.raises(ValueError, match="ML_DUPLICATE_MAINSHOCK_GRAIN"):
+        features.require_windows(mains.unionByName(mains.where(F.col("mainshock_event_id") == one)), cands)
+
+
+def test_range_join_on_all_grids(spark):
+    """Windows of an hour to 30 years and of a hundredth of a degree to the whole earth, against nested loops."""
+    import random
+
+    rng, day = random.Random(3), windows.DAY
+    w = []
+    for i, (span, box) in enumerate([(day / 24, 0.01), (40 * day, 3.0), (400 * day, 9.0), (11000 * day, 180.0)] * 4):
+        t, y = rng.uniform(0, 9000 * day), rng.uniform(-80, 80)
+        w.append((i, int(t), int(t + span), y - box, y + box))
+    p = [(i, int(rng.uniform(0, 12000 * day)), rng.uniform(-90, 90)) for i in range(300)] + [(300 + i, x[1], x[3]) for i, x in enumerate(w)]
+    got = windows.range_join(spark.createDataFrame(w, "w long, s long, e long, lo double, hi double"), spark.createDataFrame(p, "p long, t long, y double"), ("s", "e", "t"), [("lo", "hi", "y")])
+    want = sorted((a[0], b[0]) for a in w for b in p if a[1] <= b[1] <= a[2] and a[3] <= b[2] <= a[4])
+    assert sorted((r.w, r.p) for r in got.collect()) == want and len(want) > 300
 
 
 MEM = "mainshock_event_id string, candidate_event_id string, is_sequence_member boolean, membership_probability double, normalized_distance double, event_role_candidate string"

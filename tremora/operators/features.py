@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.geo import offsets_km
 from ..functions.numeric import blank, finite
 from ..functions.reasons import all_reasons
-from .windows import HOUR, RIM
+from .windows import RIM, relative, role
 
 VECTOR = ("x_scaled", "y_scaled", "z_scaled", "time_scaled")
 
@@ -29,61 +31,97 @@ class Scaling:
     hour_tolerance: float = 1e-12
 
 
+PLACE = ("time", "latitude", "longitude", "depth_km", "magnitude")
+SCALES = ("space_scale_km", "depth_scale_km", "time_scale_hours")
+#: Each component of VECTOR: a relative coordinate and its scale.
+SCALED = {"x_scaled": ("dx_km", SCALES[0]), "y_scaled": ("dy_km", SCALES[0]), "z_scaled": ("dz_km", SCALES[1]), "time_scaled": ("delta_time_hours", SCALES[2])}
+
+
+class _Row:
+    """Columns of a candidate that carries its mainshock in _main."""
+
+    def __init__(self, scaling: Scaling):
+        self.scaling = scaling
+        self.known = F.col("_main").isNotNull()
+        self.self_ = F.col("candidate_event_id") == F.col("mainshock_event_id")
+        self.anew = relative(self.shock, self.event)
+
+    def __getitem__(self, name: str) -> Column:
+        return F.col(name)
+
+    def main(self, name: str) -> Column:
+        return F.col("_main")[name]
+
+    def shock(self, name: str) -> Column:
+        return self.main(f"mainshock_{name}")
+
+    def event(self, name: str) -> Column:
+        return F.col(f"candidate_{name}")
+
+    def numbers(self) -> list[Column]:
+        """All that has to be a finite number, on either side."""
+        sides = [side(n) for side in (self.event, self.shock) for n in PLACE[1:]]
+        return [*sides, *(self.main(n) for n in ("mc_value", "pre_window_hours", "post_window_hours", "search_radius_km")), *(self[n] for n in ("mainshock_magnitude", "mc_value", *self.anew))]
+
+
+def on_earth(side: Callable[[str], Column]) -> list[Column]:
+    return [side("latitude").between(-90.0, 90.0), side("longitude").between(-180.0, 180.0)]
+
+
+#: What is wrong with a row if one of its conditions does not hold (null counts as not), in the fixed order of the codes.
+RULES: dict[str, Callable[[_Row], list[Column]]] = {
+    "ML_INVALID_ID": lambda r: [~blank(r["mainshock_event_id"].cast("string")), ~blank(r["candidate_event_id"].cast("string"))],
+    "ML_MISSING_MAINSHOCK": lambda r: [r.known],
+    "ML_DUPLICATE_GRAIN": lambda r: [r["_grain"] == 1],
+    "ML_SELF_PRESENCE_INVALID": lambda r: [r["_self"] == 1],
+    "ML_CANDIDATE_COUNT_CONFLICT": lambda r: [r["_n"] == r.main("candidate_count")],
+    "ML_RESOURCE_LIMIT_EXCEEDED": lambda r: [r["_n"] <= r.scaling.most_candidates, r.main("resource_guard_status") == "PASS"],
+    "ML_NON_FINITE_FEATURE": lambda r: [finite(x) for x in r.numbers()],
+    "ML_MAINSHOCK_RULE_INVALID": lambda r: [r.shock("depth_km").between(50.0, 200.0), r.shock("magnitude") > 5.5, r.main("pre_window_hours") >= 0, r.main("post_window_hours") > 0, r.main("search_radius_km") > 0, *on_earth(r.shock)],
+    "ML_SELF_SOURCE_MISMATCH": lambda r: [~r.self_ | r.event(n).eqNullSafe(r.shock(n)) for n in PLACE],
+    "ML_RELATIVE_COORDINATE_CONFLICT": lambda r: [F.abs(r[n] - r.anew[n]) <= (r.scaling.hour_tolerance if n == "delta_time_hours" else r.scaling.km_tolerance) for n in r.anew],
+    "ML_EVENT_ROLE_MISMATCH": lambda r: [r["is_mainshock"] == r.self_, r["relative_time_role"] == role(r.self_, r.anew["delta_time_hours"]), r.event("time").isNotNull()],
+    "ML_WINDOW_MEMBERSHIP_INVALID": lambda r: [r.anew["delta_time_hours"] >= -r.main("pre_window_hours") - r.scaling.hour_tolerance, r.anew["delta_time_hours"] <= r.main("post_window_hours") + r.scaling.hour_tolerance, F.hypot(r.anew["dx_km"], r.anew["dy_km"]) <= r.main("search_radius_km") + RIM, *on_earth(r.event)],
+    "ML_CANDIDATE_LINEAGE_CONFLICT": lambda r: [r["mainshock_magnitude"].eqNullSafe(r.shock("magnitude")), r["mc_value"].eqNullSafe(r.main("mc_value")), r["window_model_version"].eqNullSafe(r.main("window_model_version")), r.event("magnitude") >= r.main("mc_value")],
+    "ML_INVALID_SCALED_FEATURE": lambda r: [*(finite(r[v]) for v in VECTOR), *(finite(r[k]) & (r[k] > 0) for k in SCALES)],
+}
+
+
 def features(mains: DataFrame, cands: DataFrame, scaling: Scaling | None = None) -> DataFrame:
     """Candidates with VECTOR, the scales, and feature_reason_codes (empty for valid rows).
 
-    Relative coordinates are computed anew from both sides and compared with those that the candidates carry. Mainshocks
-    are joined by id; a window's counts come from the same partitioning.
+    Each row carries its mainshock as a struct; relative coordinates are taken anew from both, by the function that made
+    the candidates, and compared with those that the row has. A window's counts come from the partitioning of the join.
     """
     s = scaling or Scaling()
-    c = F.col
-    m = mains.select("mainshock_event_id", *(F.col(n).alias(f"m_{n}") for n in mains.columns if n != "mainshock_event_id")).withColumn("m_present", F.lit(True))
-    rows = cands.join(m, "mainshock_event_id", "left")
-    window, grain = Window.partitionBy("mainshock_event_id"), Window.partitionBy("mainshock_event_id", "candidate_event_id")
-    self_ = c("candidate_event_id") == c("mainshock_event_id")
-    dx, dy = offsets_km(c("m_mainshock_latitude"), c("m_mainshock_longitude"), c("candidate_latitude"), c("candidate_longitude"))
-    micros = lambda n: F.unix_micros(c(n).cast("timestamp"))
-    rows = rows.withColumns({"_n": F.count("*").over(window), "_self": F.count_if(self_).over(window), "_grain": F.count("*").over(grain), "_dx": dx, "_dy": dy, "_dz": c("candidate_depth_km") - c("m_mainshock_depth_km"), "_dt": (micros("candidate_time") - micros("m_mainshock_time")).cast("double") / HOUR})
-    rows = rows.withColumn("_d", F.sqrt(c("_dx") * c("_dx") + c("_dy") * c("_dy") + c("_dz") * c("_dz")))
-    adaptive = s.mode == "ADAPTIVE_WINDOW"
-    rows = rows.withColumns({"space_scale_km": c("m_search_radius_km") if adaptive else F.lit(s.space_km), "depth_scale_km": F.lit(s.depth_km), "time_scale_hours": c("m_post_window_hours") if adaptive else F.lit(s.time_hours)})
-    scales = ("space_scale_km", "space_scale_km", "depth_scale_km", "time_scale_hours")
-    rows = rows.withColumns({v: F.when(self_, 0.0).otherwise(c(r) / c(k)) for v, r, k in zip(VECTOR, ("_dx", "_dy", "_dz", "_dt"), scales)})
-    expected_role = F.when(self_, "MAINSHOCK").when(c("_dt") < 0, "PRE").otherwise("POST")
-    same = lambda a, b: c(a).eqNullSafe(c(b))
-    none_of = lambda conditions: ~_all(conditions)
-    numbers = ["candidate_latitude", "candidate_longitude", "candidate_depth_km", "candidate_magnitude", "mainshock_magnitude", "mc_value", "m_mainshock_latitude", "m_mainshock_longitude", "m_mainshock_depth_km", "m_mainshock_magnitude", "m_mc_value", "m_pre_window_hours", "m_post_window_hours", "m_search_radius_km", "dx_km", "dy_km", "dz_km", "distance_3d_km", "delta_time_hours"]
-    near = lambda a, b, tolerance: F.abs(c(a) - c(b)) <= tolerance
-    self_same = [same("candidate_time", "m_mainshock_time"), *(same(f"candidate_{n}", f"m_mainshock_{n}") for n in ("latitude", "longitude", "depth_km", "magnitude"))]
-    in_window = [c("_dt") >= -c("m_pre_window_hours") - s.hour_tolerance, c("_dt") <= c("m_post_window_hours") + s.hour_tolerance, F.sqrt(c("_dx") * c("_dx") + c("_dy") * c("_dy")) <= c("m_search_radius_km") + RIM, c("candidate_latitude").between(-90.0, 90.0), c("candidate_longitude").between(-180.0, 180.0)]
-    main_rule = [c("m_mainshock_depth_km").between(50.0, 200.0), c("m_mainshock_magnitude") > 5.5, c("m_post_window_hours") > 0, c("m_pre_window_hours") >= 0, c("m_search_radius_km") > 0, c("m_mainshock_latitude").between(-90.0, 90.0), c("m_mainshock_longitude").between(-180.0, 180.0)]
-    lineage = [same("mainshock_magnitude", "m_mainshock_magnitude"), same("mc_value", "m_mc_value"), c("candidate_magnitude") >= c("m_mc_value"), same("window_model_version", "m_window_model_version")]
-    codes = {
-        "ML_INVALID_ID": blank(c("mainshock_event_id").cast("string")) | blank(c("candidate_event_id").cast("string")),
-        "ML_MISSING_MAINSHOCK": c("m_present").isNull(),
-        "ML_DUPLICATE_GRAIN": c("_grain") != 1,
-        "ML_SELF_PRESENCE_INVALID": c("_self") != 1,
-        "ML_CANDIDATE_COUNT_CONFLICT": ~c("_n").eqNullSafe(c("m_candidate_count")),
-        "ML_RESOURCE_LIMIT_EXCEEDED": (c("_n") > s.most_candidates) | ~c("m_resource_guard_status").eqNullSafe("PASS"),
-        "ML_NON_FINITE_FEATURE": none_of([finite(c(n)) for n in numbers]),
-        "ML_MAINSHOCK_RULE_INVALID": none_of(main_rule),
-        "ML_SELF_SOURCE_MISMATCH": self_ & none_of(self_same),
-        "ML_RELATIVE_COORDINATE_CONFLICT": none_of([*(near(a, b, s.km_tolerance) for a, b in (("dx_km", "_dx"), ("dy_km", "_dy"), ("dz_km", "_dz"), ("distance_3d_km", "_d"))), near("delta_time_hours", "_dt", s.hour_tolerance)]),
-        "ML_EVENT_ROLE_MISMATCH": none_of([c("is_mainshock").eqNullSafe(self_), c("relative_time_role").eqNullSafe(expected_role), c("candidate_time").isNotNull()]),
-        "ML_WINDOW_MEMBERSHIP_INVALID": none_of(in_window),
-        "ML_CANDIDATE_LINEAGE_CONFLICT": none_of(lineage),
-        "ML_INVALID_SCALED_FEATURE": none_of([*(finite(c(v)) for v in VECTOR), *(finite(c(k)) & (c(k) > 0) for k in dict.fromkeys(scales))]),
-    }
-    rows = rows.withColumn("feature_reason_codes", all_reasons(codes))
-    return rows.select(*cands.columns, *VECTOR, "space_scale_km", "depth_scale_km", "time_scale_hours", F.lit("relative-4d-v1").alias("feature_version"), F.lit(s.version).alias("scaling_config_version"), "feature_reason_codes")
-
-
-def _all(conditions: list):
+    main = mains.select("mainshock_event_id", F.struct(*(n for n in mains.columns if n != "mainshock_event_id")).alias("_main"))
+    row = _Row(s)
+    window = Window.partitionBy("mainshock_event_id")
+    counted = {"_n": F.count("*").over(window), "_self": F.count_if(row.self_).over(window), "_grain": F.count("*").over(Window.partitionBy("mainshock_event_id", "candidate_event_id"))}
+    own = s.mode == "ADAPTIVE_WINDOW"
+    scales = row.main("search_radius_km") if own else F.lit(s.space_km), F.lit(s.depth_km), row.main("post_window_hours") if own else F.lit(s.time_hours)
+    rows = cands.join(main, "mainshock_event_id", "left").withColumns(counted).withColumns(dict(zip(SCALES, scales)))
+    rows = rows.withColumns({v: F.when(row.self_, 0.0).otherwise(F.try_divide(row.anew[n], k)) for v, (n, k) in SCALED.items()})
+    rows = rows.withColumn("feature_reason_codes", all_reasons({code: ~_all(rule(row)) for code, rule in RULES.items()}))
+    return rows.select(*cands.columns, *VECTOR, *SCALES, F.lit("relative-4d-v1").alias("feature_version"), F.lit(s.version).alias("scaling_config_version"), "feature_reason_codes")
+
+
+def _all(conditions: list[Column]) -> Column:
     """True only if each condition is: null counts as false."""
-    out = F.lit(True)
-    for x in conditions:
-        out = out & F.coalesce(x, F.lit(False))
-    return out
+    return reduce(and_, (F.coalesce(x, F.lit(False)) for x in conditions))
+
+
+def window_problems(mains: DataFrame, cands: DataFrame) -> DataFrame:
+    """(mainshock_event_id, reason) of mainshocks that no features can be made for: repeated ones, and empty windows."""
+    again = mains.groupBy("mainshock_event_id").agg(F.count("*").alias("n")).where("n > 1")
+    empty = mains.join(cands.select("mainshock_event_id"), "mainshock_event_id", "left_anti")
+    return again.select("mainshock_event_id", F.lit("ML_DUPLICATE_MAINSHOCK_GRAIN").alias("reason")).unionByName(empty.select("mainshock_event_id", F.lit("ML_EMPTY_WINDOW").alias("reason")).distinct())
+
+
+def require_windows(mains: DataFrame, cands: DataFrame) -> None:
+    """Fails with the reason if a mainshock is repeated or has no candidates."""
+    if bad := window_problems(mains, cands).orderBy("reason", "mainshock_event_id").first():
+        raise ValueError(f"{bad.reason}: {bad.mainshock_event_id}")
 
 
 def valid(feats: DataFrame) -> DataFrame:

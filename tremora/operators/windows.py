@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -65,24 +68,46 @@ def covered(mains: DataFrame, s: Selection) -> DataFrame:
     return mains.where(coverage_reason(s).isNull())
 
 
+#: Cells of a window, at most, before the next coarser grid takes it; grids; bits by which time and space grow from grid to grid.
+CELLS, GRIDS, TIME_BITS, SPACE_BITS = 256, 4, 3, 2
+
+
 def range_join(windows: DataFrame, points: DataFrame, time: tuple[str, str, str], boxes: list[tuple[str, str, str]], width_us: int = DAY, cell: float = 1.0) -> DataFrame:
     """Windows joined with the points inside, bounds included.
 
-    time: (start, end, point) in micros; boxes: (low, high, point) in degrees. Windows are repeated for each cell of
-    time and space that they touch, points lie in one cell, so the join is an equi-join on cells and no pair meets twice.
+    time: (start, end, point) in micros; boxes: (low, high, point) in degrees. A window lies on the finest grid of which
+    it touches at most CELLS cells, and is repeated for each of them; a point lies in one cell of each grid that some
+    window is on (GRIDS at most, in practice one or two). So the join is an equi-join on cells, and no pair meets twice.
     """
-    start, end, at = time
-    slots = F.sequence(F.floor(F.col(start) / width_us), F.floor(F.col(end) / width_us))
-    a, b = windows.withColumn("_c0", F.explode(slots)), points.withColumn("_c0", F.floor(F.col(at) / width_us))
-    inside = (F.col(at) >= F.col(start)) & (F.col(at) <= F.col(end))
-    for i, (low, high, p) in enumerate(boxes, 1):
-        a = a.withColumn(f"_c{i}", F.explode(F.sequence(F.floor(F.col(low) / cell), F.floor(F.col(high) / cell))))
-        b = b.withColumn(f"_c{i}", F.floor(F.col(p) / cell))
+    axes = [(*time, width_us, TIME_BITS), *((*b, cell, SPACE_BITS) for b in boxes)]
+    place = lambda x, unit, bits, grid: F.floor(F.col(x) / (unit * F.pow(F.lit(2.0), bits * grid)))
+    cells = lambda g: reduce(mul, (place(hi, u, n, F.lit(g)) - place(lo, u, n, F.lit(g)) + 1 for lo, hi, _, u, n in axes))
+    grid = F.lit(GRIDS - 1)
+    for g in reversed(range(GRIDS - 1)):
+        grid = F.when(cells(g) <= CELLS, g).otherwise(grid)
+    a = windows.withColumn("_g", grid)
+    b = points.crossJoin(F.broadcast(a.select("_g").distinct()))  # GRIDS rows at most
+    inside = F.lit(True)
+    for i, (low, high, p, unit, bits) in enumerate(axes):
+        a = a.withColumn(f"_c{i}", F.explode(F.sequence(place(low, unit, bits, F.col("_g")), place(high, unit, bits, F.col("_g")))))
+        b = b.withColumn(f"_c{i}", place(p, unit, bits, F.col("_g")))
         inside = inside & (F.col(p) >= F.col(low)) & (F.col(p) <= F.col(high))
-    keys = [f"_c{i}" for i in range(len(boxes) + 1)]
+    keys = ["_g", *(f"_c{i}" for i in range(len(axes)))]
     return a.join(b, keys).where(inside).drop(*keys)
 
 
+def relative(shock: Callable[[str], Column], event: Callable[[str], Column]) -> dict[str, Column]:
+    """Coordinates of an event relative to a mainshock; both give their columns (time, latitude, ...) by name."""
+    dx, dy = offsets_km(shock("latitude"), shock("longitude"), event("latitude"), event("longitude"))
+    dz = event("depth_km") - shock("depth_km")
+    hours = (_micros(event("time")) - _micros(shock("time"))).cast("double") / HOUR
+    return {"dx_km": dx, "dy_km": dy, "dz_km": dz, "distance_3d_km": F.sqrt(dx * dx + dy * dy + dz * dz), "delta_time_hours": hours}
+
+
+def role(self_: Column, hours: Column) -> Column:
+    return F.when(self_, "MAINSHOCK").when(hours < 0, "PRE").otherwise("POST")
+
+
 def candidates(events: DataFrame, mains: DataFrame, s: Selection) -> DataFrame:
     """A row for each mainshock and usable event in its window and radius, with role and relative coordinates.
 
@@ -96,15 +121,11 @@ def candidates(events: DataFrame, mains: DataFrame, s: Selection) -> DataFrame:
     boxed = boxed.where("_s <= _e")
     points = usable(events, s).select(c("canonical_event_id").alias("candidate_event_id"), c("event_time_utc").alias("candidate_time"), *(c(n).alias(f"candidate_{n}") for n in ("latitude", "longitude", "depth_km", "magnitude")), _micros(c("event_time_utc")).alias("_t"))
     pairs = range_join(boxed, points, ("_s", "_e", "_t"), [(f"_{x}_lo", f"_{x}_hi", f"candidate_{x}") for x in ("latitude", "longitude")])
-    dx, dy = offsets_km(c("mainshock_latitude"), c("mainshock_longitude"), c("candidate_latitude"), c("candidate_longitude"))
-    pairs = pairs.withColumns({"dx_km": dx, "dy_km": dy, "dz_km": c("candidate_depth_km") - c("mainshock_depth_km")})
-    pairs = pairs.where(F.sqrt(c("dx_km") * c("dx_km") + c("dy_km") * c("dy_km")) <= c("search_radius_km") + RIM)
     self_ = c("candidate_event_id") == c("mainshock_event_id")
-    dt = c("_t") - _micros(c("mainshock_time"))
-    zero = lambda x: F.when(self_, F.lit(0.0)).otherwise(x)
-    pairs = pairs.withColumn("distance_3d_km", F.sqrt(c("dx_km") * c("dx_km") + c("dy_km") * c("dy_km") + c("dz_km") * c("dz_km")))
-    pairs = pairs.withColumns({n: zero(c(n)) for n in ("dx_km", "dy_km", "dz_km", "distance_3d_km")})
-    pairs = pairs.withColumns({"is_mainshock": self_, "relative_time_role": F.when(self_, "MAINSHOCK").when(dt < 0, "PRE").otherwise("POST"), "delta_time_hours": zero(dt.cast("double") / HOUR), "mc_value": F.lit(s.mc), "window_model_version": F.lit(s.law.version)})
+    pairs = pairs.withColumns(relative(lambda n: c(f"mainshock_{n}"), lambda n: c(f"candidate_{n}")))
+    pairs = pairs.where(F.sqrt(c("dx_km") * c("dx_km") + c("dy_km") * c("dy_km")) <= c("search_radius_km") + RIM)
+    pairs = pairs.withColumns({n: F.when(self_, F.lit(0.0)).otherwise(c(n)) for n in ("dx_km", "dy_km", "dz_km", "distance_3d_km", "delta_time_hours")})
+    pairs = pairs.withColumns({"is_mainshock": self_, "relative_time_role": role(self_, c("delta_time_hours")), "mc_value": F.lit(s.mc), "window_model_version": F.lit(s.law.version)})
     return pairs.select("mainshock_event_id", "candidate_event_id", "candidate_time", "candidate_latitude", "candidate_longitude", "candidate_depth_km", "candidate_magnitude", "mainshock_magnitude", "relative_time_role", "is_mainshock", "dx_km", "dy_km", "dz_km", "delta_time_hours", "distance_3d_km", "mc_value", "window_model_version")
 
 
