@@ -63,6 +63,82 @@ def test_similar_sets_in_blocks(spark):
     assert found(spark, data, cell=8, bucket=500) == plain_components(data)
 
 
+def chain(n, size=60, shared=50):
+    """Sets that share shingles with the one before and after, none of them enough to link."""
+    step = size - shared // 2
+    return [(i, " ".join(f"w{i * step + j}" for j in range(size)), None, None, None) for i in range(n)]
+
+
+def test_chains_make_no_large_groups(spark):
+    """Neighbours in a long chain share rare shingles, and no two link: lists stay short, whatever the chain's length."""
+    data = chain(400, 30, 29)
+    assert found(spark, data) == plain_components(data)
+    data = [(i, " ".join(f"w{3 * i + j}" for j in range(20)), None, None, None) for i in range(3000)]
+    assert found(spark, data) == sorted(((i, 16, i) for i, *_ in data), key=repr)
+
+
+def plain_links(data):
+    sets = [(d, shingle_set(t)) for d, t, *_ in data]
+    near = lambda a, b: a and b and 100 * len(a & b) >= 80 * len(a | b)
+    return sorted(((d, sum(bool(near(a, b)) for j, (_, b) in enumerate(sets) if i != j)) for i, (d, a) in enumerate(sets)), key=repr)
+
+
+@pytest.mark.parametrize("cell", [4096, 8])
+def test_links_are_counted(spark, cell):
+    data = [*family(6, 3, 20), *awkward_docs()]
+    got = ngram_join.similar_sets(spark.createDataFrame(data, DOCS), cell=cell, links=True).select("doc_id", "n_links").collect()
+    assert sorted(map(tuple, got), key=repr) == plain_links(data)
+
+
+def test_classes_that_share_a_number(spark):
+    """With 3 bits almost all classes share their number with others."""
+    data = [*family(7, 4, 10), *awkward_docs()]
+    assert found(spark, data, bits=3) == plain_components(data)
+
+
+def test_hot_shingles(spark):
+    data = family(8)
+    assert found(spark, data, hot=20, bucket=300) == plain_components(data)
+
+
+@pytest.mark.parametrize("buckets", [1, 12, 256, 300, 65536, 1_000_003])
+def test_shingles_keep_all_bits(buckets):
+    """A shingle's bucket and the bytes that it keeps there say which it was."""
+    rng = np.random.default_rng(1)
+    tokens = np.concatenate([rng.integers(0, 2**64, 1000, dtype=np.uint64), np.array([0, 2**64 - 1, 2**32, 2**48, 2**48 + 5], np.uint64)])
+    for t in tokens.tolist():
+        b = ((t >> 32) * buckets) >> 32
+        rest = t - ngram_join._start(b, buckets)
+        assert 0 <= rest < 1 << 8 * ngram_join._width(buckets)
+    assert ngram_join._width(256) == 7 and ngram_join._width(65536) == 6
+
+
+def test_joins_ignore_other_columns(spark):
+    """Extra columns with the names that the operators use inside change nothing."""
+    names = ["cls", "check", "token", "component", "label", "copies", "n", "tokens", "cell", "rep"]
+    data = [*family(9, 3, 8), *awkward_docs()]
+    docs = spark.createDataFrame(data, DOCS)
+    more = docs.withColumns({n: F.lit("x") for n in names})
+    assert sorted(map(tuple, ngram_join.similar_sets(more).collect()), key=repr) == plain_components(data)
+
+
+def test_tables_between_jobs_go(spark):
+    """Only the result's table is left in the shared folder, and none after an error."""
+    from pathlib import Path
+
+    from tremora.llm import common
+
+    at = Path(common.shared_dir(spark).removeprefix("file:")) / "tremora"
+    before = set(at.glob("*"))
+    out = ngram_join.similar_sets(spark.createDataFrame(family(9, 2, 4), DOCS))
+    assert len(set(at.glob("*")) - before) == 1 and out.count() > 0
+    common.forget(out)
+    with pytest.raises(RuntimeError), common.workspace():
+        common.materialize(spark.range(3), "x")
+        raise RuntimeError
+    assert set(at.glob("*")) == before
+
+
 def test_similar_sets_awkward(spark):
     data = awkward_docs()
     assert found(spark, data) == plain_components(data)

@@ -1,7 +1,8 @@
 """What the operators of this subpackage share: storage that all executors see, word hashing, components of a graph.
 
 Storage: intermediate tables go below the folder that the session names in ``spark.checkpoint.dir``. Only where that
-setting is absent (tests, notebooks) a temporary folder of this process stands in.
+setting is absent and all tasks run in this process (a local master, as in tests) a temporary folder stands in. An
+operator's tables go when it returns: see workspace().
 """
 
 from __future__ import annotations
@@ -12,6 +13,7 @@ import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
+from types import TracebackType
 
 import numpy as np
 import pyarrow as pa
@@ -19,12 +21,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _LOCAL: list[str] = []
+_OPEN: list[list[DataFrame]] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for tables between jobs: that of ``spark.checkpoint.dir``, else one of this process."""
     if at := spark.conf.get("spark.checkpoint.dir", None):
         return at.rstrip("/")
+    if not (master := spark.sparkContext.master).startswith("local") or master.startswith("local-cluster"):
+        raise RuntimeError(f"spark.checkpoint.dir is unset: on {master} tables between jobs need a folder that all executors see")
     if not _LOCAL:
         _LOCAL.append(tempfile.mkdtemp(prefix="tremora-"))
         atexit.register(shutil.rmtree, _LOCAL[0], ignore_errors=True)
@@ -42,13 +47,39 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out._tremora_path = path
+    if _OPEN:
+        _OPEN[-1].append(out)
     return out
 
 
 def forget(*tables: DataFrame) -> None:
-    """Deletes tables that materialize() wrote, once nothing reads them any more."""
+    """Deletes tables that materialize() or a workspace wrote, once nothing reads them any more."""
     for t in tables:
-        drop(t.sparkSession, t._tremora_path)
+        if path := t.__dict__.pop("_tremora_path", None):
+            drop(t.sparkSession, path)
+
+
+class workspace:
+    """``with workspace() as w: ... return w.result(df, name)``: tables written inside go when the block ends, whichever way.
+
+    The result is a table too, and stays: it belongs to the caller, who may forget() it, or to the workspace around this one.
+    """
+
+    def __enter__(self) -> workspace:
+        self.mine: list[DataFrame] = []
+        _OPEN.append(self.mine)
+        return self
+
+    def result(self, df: DataFrame, name: str) -> DataFrame:
+        out = materialize(df, name)
+        self.mine.pop()
+        if len(_OPEN) > 1:
+            _OPEN[-2].append(out)
+        return out
+
+    def __exit__(self, kind: type[BaseException] | None, error: BaseException | None, trace: TracebackType | None) -> None:
+        _OPEN.pop()
+        forget(*self.mine)
 
 
 def drop(spark: SparkSession, path: str) -> None:
@@ -60,9 +91,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def small_batches(spark: SparkSession, rows: int = 2000) -> None:
-    """Arrow batches of few rows, so that long texts don't add up in a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def small_batches(spark: SparkSession) -> None:
+    """Arrow batches of bounded rows and bytes, so that long texts don't add up in a Python worker.
+
+    The same for all operators: the settings are the session's, and hold when a frame runs, not when it is made.
+    """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
 
 
 def trim() -> None:
@@ -160,16 +195,17 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> Iterator[np.n
         a += c
 
 
-def components(edges: DataFrame, name: str = "components", rounds: int = 40) -> DataFrame:
+def components(edges: DataFrame, name: str = "components") -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), the component being its smallest id.
 
     Alternates the two star contractions of Kiveris et al. (2014): each round points neighbours of a node to the
     smallest one. A round is an aggregate and a join on node ids, written to the shared folder; edges only shrink to
-    stars, so the number of rows never exceeds twice the input. Nodes without edges don't occur in the result.
+    stars, so the number of rows never exceeds twice the input. Rounds go on until one changes nothing, about as many as
+    the logarithm of the longest path squared. Nodes without edges don't occur in the result.
     """
     cur = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    seen = None
-    for _ in range(rounds):
+    seen, settled = None, False
+    while not settled:
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -179,9 +215,6 @@ def components(edges: DataFrame, name: str = "components", rounds: int = 40) ->
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
         forget(cur)
         cur = new
-        if state == seen or state[0] == state[2] and new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
-            break
+        settled = state == seen or state[0] == state[2] and new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
         seen = state
-    else:
-        raise RuntimeError(f"components are not settled after {rounds} rounds")
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())

@@ -130,7 +130,7 @@ def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
             made.append(archive.done())
         yield pa.RecordBatch.from_pylist([dict(zip(("path", "records", "bytes"), m)) for m in made], pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
-    small_batches(chunks.sparkSession, 256)
+    small_batches(chunks.sparkSession)
     return materialize(chunks.mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
 
 
