@@ -10,7 +10,8 @@
    with the same members are one. A pair that links is in a common list.
 4. Each set is compared with the first of each of its lists. That settles lists of two, and connects most of a group of
    near copies: lists whose members are all connected are done.
-5. In each of the others a signature tree holds, for each node, the OR of its sets' token bitmaps and the range of their
+5. The others make up cells, by the members that they share. In a cell of up to CELL sets, and in each list of a larger
+   cell, a signature tree holds, for each node, the OR of its sets' token bitmaps and the range of their
    sizes. A dual traversal from (root, root) drops node pairs by size, by the largest overlap that their bitmaps admit, or
    as already connected; pairs of sets that remain are intersected exactly. Lists above CELL sets are cut into blocks by
    size and hash, and block pairs are traversed as tasks of their own: one block against all others first, then the
@@ -44,8 +45,8 @@ WORDS = 5
 PERCENT = 80
 #: Shingles of so many documents are hot. What a run of documents (RUN shingles) has more than FEW times adds to that count.
 HOT, RUN, FEW = 1_000_000, 4_000_000, 7
-#: Shingles a bucket, classes a group, and sets a list or pair of blocks, that one task gathers.
-BUCKET, GROUP, CELL = 2_500_000, 2000, 4096
+#: Shingles a bucket, classes a group, and sets a tree or pair of blocks, that one task gathers.
+BUCKET, GROUP, CELL = 2_500_000, 2000, 2048
 #: Buckets at least: 7 bytes then hold a shingle.
 BUCKETS = 256
 
@@ -443,6 +444,22 @@ def _long_links(rows: DataFrame, links: DataFrame, percent: int, limit: int) ->
     return links
 
 
+def _trees(todo: DataFrame, limit: int) -> tuple[DataFrame, bool]:
+    """(cls, label, cell, c): which sets go to a tree, c of them; and whether some c are above the limit.
+
+    Lists that share members make up a cell. One tree takes a whole cell of up to `limit` sets, so that each is sent once;
+    in larger cells, as long chains make, each list is a tree of its own.
+    """
+    first = todo.groupBy("cell").agg(F.min("cls").alias("low"))
+    tops = components(todo.join(first, "cell").select(F.col("cls").alias("a"), F.col("low").alias("b")), "ngram-cells")
+    sizes = tops.groupBy("component").agg(F.count("*").alias("size"))
+    tops = materialize(tops.join(sizes, "component").select(F.col("id").alias("cls"), "component", "size"), "ngram-cell-list")
+    placed = todo.join(tops, "cls")
+    small = placed.where(F.col("size") <= limit).select("cls", "label", F.col("component").alias("cell"), F.col("size").alias("c")).distinct()
+    rows = materialize(small.unionByName(placed.where(F.col("size") > limit).select("cls", "label", "cell", "c")), "ngram-trees")
+    return rows, not rows.where(F.col("c") > limit).isEmpty()
+
+
 def _every_link(members: DataFrame, sets: DataFrame, percent: int, cell: int, packs: Column) -> DataFrame:
     """(a, b): each link between two classes, once."""
     rows = members.select("cls", F.col("token").alias("cell"), "c").join(sets, "cls")
@@ -488,12 +505,13 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, ce
         todo = _labelled(members.where("c > 2").select("cls", "c", F.col("token").alias("cell")), found)
         mixed = todo.groupBy("cell").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi")
         todo = materialize(todo.join(mixed.select("cell"), "cell", "left_semi"), "ngram-mixed")
-        n_todo, longest = todo.agg(F.count("*"), F.coalesce(F.max("c"), F.lit(0))).first()
-        packs = F.pmod(F.xxhash64("cell"), F.lit(max(12, -(-n_todo // 1000))))
+        n_todo = todo.select("cls").distinct().count()
+        packs = F.pmod(F.xxhash64("cell"), F.lit(max(12, -(-n_todo // 500))))
         if n_todo:
-            rows = todo.join(one, "cls")
+            rows, large_cells = _trees(todo, cell)
+            rows = rows.join(one, "cls")
             found = materialize(found.unionByName(_forest(rows.where(F.col("c") <= cell).withColumn("pack", packs), "pack", percent)), "ngram-links")
-            if longest > cell:
+            if large_cells:
                 found = _long_links(rows.where(F.col("c") > cell), found, percent, cell)
         linked = components(found, "ngram-components").select(F.col("id").alias("cls"), "component")
 
