@@ -242,6 +242,22 @@ def test_near_duplicates_in_blocks(spark):
     assert linked(spark, data, block=16) == plain_vectors(data)
 
 
+@pytest.mark.parametrize("kw", [{"small": 1, "block": 16}, {"small": 4}, {"small": 1000}, {"id_bits": 3}])
+def test_near_duplicates_in_buckets_of_all_sizes(spark, kw):
+    """Pairs of small buckets and vectors in large ones give the same links, each once, and class numbers may clash."""
+    data = list(enumerate(clouds(6, 12, 9, 0.05) + clouds(7, 30, 1, 0.0) + clouds(8, 1, 40, 0.01)))
+    assert linked(spark, data, **kw) == plain_vectors(data)
+
+
+def test_near_duplicates_ignore_other_columns(spark):
+    data = list(enumerate(clouds(9, 6, 4, 0.05)))
+    df = spark.createDataFrame([(i, v, None) for i, v in data], VEC)
+    for name in ("cls", "t", "code", "copies", "vector", "component", "n_links", "check"):
+        df = df.withColumn(name, F.lit("x"))
+    out = embedding_dedup.near_duplicates(df).collect()
+    assert sorted(((r.vec_id, r.n_links, r.component_id) for r in out), key=repr) == plain_vectors(data)
+
+
 def test_near_duplicates_awkward(spark):
     v = [1.0, 2.0, 3.0]
     data = [(1, v), (2, [2.0, 4.0, 6.0]), (3, None), (4, []), (5, [0.0, 0.0, 0.0]), (6, [1.0, None, 3.0]), (7, [1.0, float("nan"), 3.0]), (8, [float("inf"), 0.0, 0.0]), (1, v), (None, v), (9, [1.0, 2.0]), (10, [-1.0, -2.0, -3.0]), (None, [5.0, 0.0, 0.0]), (11, [1e-30, 2e-30, 3e-30])]

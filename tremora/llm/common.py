@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import atexit
 import ctypes
+import hashlib
 import shutil
 import tempfile
 import uuid
@@ -218,3 +219,36 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         settled = state == seen or state[0] == state[2] and new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
         seen = state
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
+
+
+Alias = dict[tuple[int, int], int]
+
+
+def aliases(classes: DataFrame) -> Alias:
+    """Other numbers for classes (cls, check) that share their number with another: all but that of the least check.
+
+    About m^2 / 2^65 classes of m do so (3 of ten billion), so their list is small; new numbers are tried until none is taken.
+    """
+    shared = classes.groupBy("cls").agg(F.count("*").alias("n"), F.min("check").alias("first")).where("n > 1").drop("n")
+    left = {(r.cls, r.check) for r in classes.join(shared, "cls").where(F.col("check") != F.col("first")).select("cls", "check").collect()}
+    out: Alias = {}
+    salt = 0
+    while left:
+        tried = {at: int.from_bytes(hashlib.blake2b(f"{at}:{salt}".encode(), digest_size=8).digest(), "little", signed=True) for at in left}
+        new = classes.sparkSession.createDataFrame([(x,) for x in set(tried.values())], "cls long")
+        taken = {r.cls for r in classes.join(F.broadcast(new), "cls", "left_semi").select("cls").collect()} | set(out.values())
+        for at in sorted(left):
+            if tried[at] not in taken:
+                out[at] = tried[at]
+                taken.add(tried[at])
+        left -= set(out)
+        salt += 1
+    return out
+
+
+def renamed(rows: DataFrame, alias: Alias) -> DataFrame:
+    """Rows (cls, check, ...) with the classes' final numbers."""
+    if not alias:
+        return rows
+    new = rows.sparkSession.createDataFrame([(*k, v) for k, v in alias.items()], "cls long, check long, other long")
+    return rows.join(F.broadcast(new), ["cls", "check"], "left").withColumn("cls", F.coalesce("other", "cls")).drop("other")

@@ -2,7 +2,7 @@
 
 1. A pass over the texts gives each document its number of shingles and a 128-bit digest of the set. Documents with one
    digest are a class; from here on a class counts once, however many copies it has. Classes go by the first half of
-   their digest; where two share it, all but one get another number (see _aliases).
+   their digest; where two share it, all but one get another number (see common.aliases).
 2. Shingles are counted over classes, in buckets of the hash range. A class keeps only its shared shingles (in another
    class too) with their counts: a set of n shingles of which fewer than 0.8 n are shared links with nothing and ends here.
 3. Two sets that link share one of their rarest n - ceil(0.8 n) + 1 shingles, whatever the (fixed) order. With the order
@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import components, materialize, shingles, small_batches, text_chunks, trim, workspace
+from .common import Alias, aliases, components, materialize, renamed, shingles, small_batches, text_chunks, trim, workspace
 
 WORDS = 5
 #: Links need 100 * overlap >= PERCENT * union.
@@ -52,9 +52,6 @@ BUCKETS = 256
 
 _NEVER = np.uint32(0xFFFFFFFF)
 
-Alias = dict[tuple[int, int], int]
-
-
 def _digest(tokens: np.ndarray, bits: int = 64) -> tuple[int, int]:
     """(class, check): the halves of a digest; `bits` of the first."""
     d = hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
@@ -98,36 +95,6 @@ def set_rows(docs: DataFrame, k: int = WORDS, bits: int = 64) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_shingles long, cls long, check long, hot binary, hot_counts binary")
 
 
-def _aliases(classes: DataFrame) -> Alias:
-    """Other numbers for classes (cls, check) that share their number with another: all but that of the least check.
-
-    About m^2 / 2^65 classes of m do so (3 of ten billion), so their list is small; new numbers are tried until none is taken.
-    """
-    shared = classes.groupBy("cls").agg(F.count("*").alias("n"), F.min("check").alias("first")).where("n > 1").drop("n")
-    left = {(r.cls, r.check) for r in classes.join(shared, "cls").where(F.col("check") != F.col("first")).select("cls", "check").collect()}
-    out: Alias = {}
-    salt = 0
-    while left:
-        tried = {at: int.from_bytes(hashlib.blake2b(f"{at}:{salt}".encode(), digest_size=8).digest(), "little", signed=True) for at in left}
-        new = classes.sparkSession.createDataFrame([(x,) for x in set(tried.values())], "cls long")
-        taken = {r.cls for r in classes.join(F.broadcast(new), "cls", "left_semi").select("cls").collect()} | set(out.values())
-        for at in sorted(left):
-            if tried[at] not in taken:
-                out[at] = tried[at]
-                taken.add(tried[at])
-        left -= set(out)
-        salt += 1
-    return out
-
-
-def _renamed(rows: DataFrame, alias: Alias) -> DataFrame:
-    """Rows (cls, check, ...) with the classes' final numbers."""
-    if not alias:
-        return rows
-    new = rows.sparkSession.createDataFrame([(*k, v) for k, v in alias.items()], "cls long, check long, other long")
-    return rows.join(F.broadcast(new), ["cls", "check"], "left").withColumn("cls", F.coalesce("other", "cls")).drop("other")
-
-
 def _hot_tokens(sets: DataFrame, hot: int) -> np.ndarray:
     """Shingles of at least `hot` documents: at most the number of all shingles of all documents / hot, 8 bytes each."""
 
@@ -482,8 +449,8 @@ def similar_sets(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, ce
         per_doc = sets.where("n_shingles is not null").select("doc_id", "n_shingles", "cls", "check")
         classes = per_doc.where("cls is not null").groupBy("cls", "check").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.count("*").alias("copies"))
         classes = materialize(classes, "ngram-classes")
-        alias = _aliases(classes)
-        classes, per_doc = _renamed(classes, alias), _renamed(per_doc, alias)
+        alias = aliases(classes)
+        classes, per_doc = renamed(classes, alias), renamed(per_doc, alias)
         n_classes, n_docs, total = classes.agg(F.count("*"), F.coalesce(F.sum("copies"), F.lit(0)), F.coalesce(F.sum("n"), F.lit(0))).first()
         # at most 1000 classes can hold a thousandth of all documents each
         large = {r.cls: r.rep for r in classes.where((F.col("copies") >= max(64, n_docs / 1000)) & F.col("rep").isNotNull()).select("cls", "rep").collect()}
