@@ -4,6 +4,7 @@ import hashlib
 
 import pyarrow.fs as pafs
 from helpers import rows
+from pyspark.sql import functions as F
 
 from tremora.llm import warc
 from tremora.llm.common import scratch
@@ -53,7 +54,8 @@ def test_repeated_rows_and_empty(spark):
 
 def test_archives_are_warc(spark):
     """Every record is a gzip member of its own, with the fields of the format and a block of its length."""
-    manifest = warc.write_archives(warc.chunk_rows(warc.record_rows(spark.createDataFrame(DATA, PAGES))), scratch(spark, "warc-test")).collect()
+    pages = spark.createDataFrame(DATA, PAGES)
+    manifest = warc.write_archives(warc.chunk_rows(pages, warc.record_rows(pages)), scratch(spark, "warc-test")).collect()
     assert sum(m.records for m in manifest) == len(DATA)
     kinds = []
     for m in manifest:
@@ -71,3 +73,47 @@ def test_archives_are_warc(spark):
             kinds.append(fields["WARC-Type"])
             text = rest[n + 4 :]
     assert sorted(kinds) == ["response"] * 8 + ["revisit"] * 4
+
+
+def test_null_ids_and_other_columns(spark):
+    data = [(None, "u", "a"), (None, None, "a"), (None, "u", "b"), (None, "u", "b"), (1, "u", "a"), (2, "u", None), (2, "u", "c")]
+    assert trip(spark, data) == plain(data)
+    df = spark.createDataFrame(data, PAGES)
+    for name in ("payload", "sha", "row", "first_id", "chunk_no", "data", "n_bytes"):
+        df = df.withColumn(name, F.lit("x"))
+    out = warc.round_trip(spark, df).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    assert rows(out) == plain(data)
+
+
+def test_one_payload_in_most_pages(spark):
+    data = [(i, None, "p" * 5000 if i % 10 else f"own {i}") for i in range(500)]
+    assert trip(spark, data, 1000) == plain(data)
+
+
+def test_no_row_that_is_dealt_out_holds_a_payload(spark):
+    """Every exchange of the chunked table's plan carries chunks or digests."""
+    pages = spark.createDataFrame(DATA, PAGES)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = warc.chunk_rows(pages, warc.record_rows(pages))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    exchanges = plan.split("Exchange ")[1:]
+    assert exchanges and not any("payload" in line.split("\n")[0] or "html" in line.split("\n")[0] for line in exchanges)
+    for part in exchanges:  # what the exchange reads, projected just below it
+        below = part.split("\n")[1]
+        assert "payload#" not in below.split("[", 1)[-1].split("]")[0] or "substring(payload" in below
+
+
+def test_archives_of_lost_tasks_go(spark):
+    """What the manifest doesn't name is deleted; what it names stays where a folder is given."""
+    from pathlib import Path
+
+    at = scratch(spark, "warc-kept")
+    folder = Path(at.removeprefix("file:"))
+    folder.mkdir(parents=True)
+    (folder / "_left.tmp").write_bytes(b"x")
+    (folder / "left.warc.gz").write_bytes(b"x")
+    out = warc.round_trip(spark, spark.createDataFrame(DATA, PAGES), folder=at)
+    kept = {p.name for p in folder.glob("*.warc.gz")}
+    assert kept == {r.archive.rsplit("/", 1)[1] for r in out.collect()} and not (folder / "_left.tmp").exists()

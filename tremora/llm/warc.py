@@ -1,14 +1,19 @@
 """WARC archives from a chunked record table, and back.
 
-A payload becomes rows (record, chunk number, bytes) of at most CHUNK bytes, cut by Spark; the writer and the reader hold
-one chunk at a time and carry the record's SHA-1 from chunk to chunk. Equal payloads are stored once: the record with the
-smallest page_id is a `response`, the others are `revisit` records without a payload.
+A payload becomes rows (record, chunk number, bytes) of at most CHUNK bytes, cut by Spark where it is scanned; the writer
+and the reader hold one chunk at a time and carry the record's SHA-1 from chunk to chunk. Equal payloads are stored once:
+the record with the smallest page_id is a `response`, the others are `revisit` records without a payload.
+
+Digests alone say which page is the first of its payload. Chunks meet these firsts by page_id and digest, so that a
+payload which many pages share is no hot group, and no row that is dealt out holds more than a chunk.
 
 Archives are gzip members, one a record, in the shared folder. A task writes under a temporary name and renames when the
-archive is complete; only the manifest of finished tasks says which archives exist, so a lost executor leaves no trace.
+archive is complete; only the manifest of finished tasks says which archives exist. What lost tasks left is deleted once
+the manifest is written.
 
 Defined cases: a null html is an empty payload; a null url leaves out the target URI; rows that repeat page_id and
-payload are responses like the first; a null page_id is a record that comes after all others.
+payload are responses like the first; a null page_id is a record that comes after all others; no rows: no records. Columns
+other than page_id, url and html are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -22,10 +27,10 @@ from typing import BinaryIO
 
 import pyarrow as pa
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, scratch, small_batches
+from .common import drop, materialize, scratch, small_batches, workspace
 
 CHUNK = 1 << 18
 #: Uncompressed bytes after which a task begins a new archive.
@@ -35,26 +40,35 @@ _NAMES = uuid.UUID("6ba7b811-9dad-11d1-80b4-00c04fd430c8")  # the name space for
 _DATE = "2024-01-01T00:00:00Z"  # the tables hold no capture time
 
 
-def record_rows(pages: DataFrame) -> DataFrame:
-    """Pages as (page_id, url, payload, n_bytes, first_id): first_id is the smallest page_id with an equal payload."""
+def _payload() -> dict[str, Column]:
     payload = F.coalesce("html", F.lit("")).cast("binary")
-    rows = pages.select("page_id", "url", payload.alias("payload"))
-    digests = rows.select(F.col("page_id"), F.sha1("payload").alias("sha"), F.octet_length("payload").cast("long").alias("n"))
-    firsts = digests.groupBy("sha", "n").agg(F.min("page_id").alias("first_id"))
-    rows = rows.withColumns({"sha": F.sha1("payload"), "n": F.octet_length("payload").cast("long")})
-    return rows.join(firsts, ["sha", "n"]).select("page_id", "url", "payload", F.col("n").alias("n_bytes"), "sha", "first_id")
+    return {"payload": payload, "n_bytes": F.octet_length(payload).cast("long"), "sha": F.sha1(payload)}
 
 
-def chunk_rows(records: DataFrame, chunk: int = CHUNK) -> DataFrame:
+def record_rows(pages: DataFrame) -> DataFrame:
+    """(page_id, url, n_bytes, sha, first_id) of each page; first_id is the smallest page_id with an equal payload."""
+    rows = pages.select("page_id", "url", *(c.alias(n) for n, c in _payload().items() if n != "payload"))
+    firsts = rows.groupBy("sha", "n_bytes").agg(F.min("page_id").alias("first_id"))
+    return rows.join(firsts, ["sha", "n_bytes"]).select("page_id", "url", "n_bytes", "sha", "first_id")
+
+
+def chunk_rows(pages: DataFrame, records: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """The chunked record table: (page_id, url, n_bytes, sha, first_id, chunk_no, chunks, data); a record's rows are adjacent.
 
-    Revisits have one row without data, and so have empty payloads.
+    records: those of record_rows(). Revisits have one row without data, and so have empty payloads.
     """
+    n = F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / chunk)).cast("int")
+    cut = F.substring(F.col("payload"), F.col("chunk_no") * chunk + 1, F.lit(chunk))
+    rows = pages.select("page_id", "url", F.monotonically_increasing_id().alias("row"), *(c.alias(n) for n, c in _payload().items()))
+    rows = rows.withColumn("chunks", n).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
+    rows = rows.select("page_id", "url", "n_bytes", "sha", "row", "chunk_no", "chunks", cut.alias("data"))
     stored = F.col("page_id").eqNullSafe(F.col("first_id"))
-    n = F.when(stored, F.greatest(F.lit(1), F.ceil(F.col("n_bytes") / chunk))).otherwise(1).cast("int")
-    cut = F.when(stored, F.substring(F.col("payload"), F.col("chunk_no") * chunk + 1, F.lit(chunk)))
-    rows = records.withColumn("chunks", n).withColumn("chunk_no", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
-    return rows.select("page_id", "url", "n_bytes", "sha", "first_id", "chunk_no", "chunks", cut.alias("data"))
+    firsts = records.where(stored).select("first_id", F.col("sha").alias("first_sha"), F.col("n_bytes").alias("first_bytes")).distinct()
+    same = stored & (F.col("sha") == F.col("first_sha")) & (F.col("n_bytes") == F.col("first_bytes"))
+    columns = ["page_id", "url", "n_bytes", "sha", "first_id", "chunk_no", "chunks", "data"]
+    responses = rows.join(firsts, same).sortWithinPartitions("row", "chunk_no").select(*columns)
+    revisits = records.where(~stored).withColumns({"chunk_no": F.lit(0), "chunks": F.lit(1), "data": F.lit(None).cast("binary")})
+    return responses.unionByName(revisits.select(*columns))
 
 
 def _id(page: int | None) -> str:
@@ -107,8 +121,20 @@ class _Archive:
         return self.uri, self.records, self.bytes
 
 
+def _only(spark: SparkSession, folder: str, manifest: DataFrame) -> None:
+    """Deletes what the manifest does not name: archives of tasks that were lost or ran twice."""
+    named = {r.path.rsplit("/", 1)[1] for r in manifest.select("path").toLocalIterator()}  # one for each ROLL bytes
+    at = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = fs.listStatusIterator(at) if fs.exists(at) else None
+    while files and files.hasNext():
+        file = files.next().getPath()
+        if file.getName() not in named:
+            fs.delete(file, False)
+
+
 def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
-    """Writes the chunked record table below folder; returns the manifest (path, records, bytes), already written itself."""
+    """Writes the chunked record table to an own folder; returns the manifest (path, records, bytes), already written itself."""
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         archive, made = None, []
@@ -131,7 +157,9 @@ def write_archives(chunks: DataFrame, folder: str) -> DataFrame:
         yield pa.RecordBatch.from_pylist([dict(zip(("path", "records", "bytes"), m)) for m in made], pa.schema([("path", pa.string()), ("records", pa.int64()), ("bytes", pa.int64())]))
 
     small_batches(chunks.sparkSession)
-    return materialize(chunks.mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
+    manifest = materialize(chunks.mapInArrow(write, "path string, records long, bytes long"), "warc-manifest")
+    _only(chunks.sparkSession, folder, manifest)
+    return manifest
 
 
 def _records(stream: BinaryIO) -> Iterator[dict]:
@@ -187,10 +215,16 @@ def read_archives(manifest: DataFrame) -> DataFrame:
     return manifest.select("path").repartition(tasks).mapInArrow(read, READ)
 
 
-def round_trip(spark: SparkSession, pages: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """Writes all pages to archives in the shared folder and reads these back."""
-    manifest = write_archives(chunk_rows(record_rows(pages), chunk), scratch(spark, "warc"))
-    return read_archives(manifest)
+def round_trip(spark: SparkSession, pages: DataFrame, chunk: int = CHUNK, folder: str | None = None) -> DataFrame:
+    """Writes all pages to archives and reads these back. Archives stay in `folder`; without one they go after the reading."""
+    with workspace() as w:
+        records = materialize(record_rows(pages), "warc-records")
+        at = folder or scratch(spark, "warc")
+        try:
+            return w.result(read_archives(write_archives(chunk_rows(pages, records, chunk), at)), "warc-read")
+        finally:
+            if folder is None:
+                drop(spark, at)
 
 
 def oracle() -> str:
