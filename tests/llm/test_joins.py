@@ -330,11 +330,9 @@ def test_tiling(spark):
 def test_tiling_in_blocks(spark, sf):
     docs, bench = table(spark, sf, "documents"), table(spark, sf, "benchmark")
     one = sorted(map(tuple, decontamination.leaks(docs, bench).collect()))
-    old, decontamination.blocks.__defaults__ = decontamination.blocks.__defaults__, (200,)
-    try:
-        assert sorted(map(tuple, decontamination.leaks(docs, bench).collect())) == one
-    finally:
-        decontamination.blocks.__defaults__ = old
+    assert sorted(map(tuple, decontamination.leaks(docs, bench, block=200).collect())) == one
+    whole, parts = (sorted(map(tuple, decontamination.keep_clean(docs, bench, block=b).collect()), key=repr) for b in (10**9, 200))
+    assert whole == parts
     kept = decontamination.keep_clean(docs.withColumn("extra", F.lit(1)), bench)
     assert kept.columns == [*docs.columns, "extra"]
     assert kept.count() == docs.count() - len({r[0] for r in one})
@@ -344,3 +342,37 @@ def test_tiling_empty(spark):
     none = spark.createDataFrame([], "item_id long, text string")
     assert decontamination.leaks(spark.createDataFrame(awkward_docs(), DOCS), none).collect() == []
     assert decontamination.leaks(spark.createDataFrame([], DOCS), spark.createDataFrame([(1, "a b c d e f")], "item_id long, text string")).collect() == []
+
+
+def test_many_pairs_of_places_are_followed(monkeypatch):
+    """Texts that repeat a sentence of the item, whole or with noise, give the same tiles either way."""
+    import pyarrow as pa
+
+    rng = random.Random(4)
+    sentence = prose(rng, 11, 100)
+    item = " ".join([sentence] * 12 + [prose(rng, 20)] + [sentence] * 5)
+    noisy = " ".join(f"{sentence} {prose(rng, rng.randrange(3), 50)}" for _ in range(30))
+    texts = pa.array([" ".join([sentence] * 40), noisy, prose(rng, 200), "a " * 300, item, sentence])
+    index = decontamination.Index([(1, item), (2, "a " * 50), (3, prose(rng, 30)), (4, sentence)])
+    light = list(decontamination._found(index, texts, 0.2))
+    monkeypatch.setattr(decontamination, "HITS", 3)
+    assert list(decontamination._found(index, texts, 0.2)) == light and len(light) > 5
+    plain = {(r, i): c for r, i, c, *_ in light}
+    for r, t in enumerate(texts.to_pylist()):
+        covered, n = plain_tiles(t, item)
+        assert plain.get((r, 0), 0) == pytest.approx(covered / n if covered >= 0.2 * n else 0)
+
+
+def test_a_repetitive_text_takes_little_memory():
+    import tracemalloc
+
+    import pyarrow as pa
+
+    sentence = "the cat sat on a mat near the door and slept"
+    index = decontamination.Index([(1, " ".join([sentence] * 110))])
+    texts = pa.array([" ".join([sentence] * 10_000)])
+    tracemalloc.start()
+    found = list(decontamination._found(index, texts, 0.5))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found[0][2] == 1.0 and peak < 100e6
