@@ -1,12 +1,15 @@
 """The corpus pipeline: five stages over `documents`, each written as Parquet and read again by the next.
 
 toxicity: documents that the severity model rejects go. similarity: of each component of documents linked by similar sets
-of shingles, the one with the smallest id stays (rows that repeat it go too). decontamination: documents that cover a
-benchmark item go. mixing: documents are repeated or left out so that the sources come near their target weights.
-sharding: documents are dealt to shards. All stages but the last return the columns of documents.
-
-Defined cases: rows without an id pass every stage but the similarity stage like others; there, of texts that only such
-rows have, all but one row go. A document at the end of a source's budget is kept whole.
+of shingles, one stays. decontamination: documents that cover a benchmark item go. mixing: documents are repeated or left
+out so that the sources come near their target weights. sharding: documents are dealt to shards. All stages but the last
+return the columns of documents, and carry further columns along whatever their names.
+
+Defined cases: of a component the row with the smallest id stays, one without an id only if no row has one, then the one
+of the smallest text digest; rows that share id and text are one document, of which one row stays (the first by language
+and source); texts without words are linked with nothing. Rows without an id pass the other stages like any. The mix takes
+rows that share id, source and text together, as often as the one that it takes most. A document at the end of a source's
+budget is kept whole. No rows: no rows.
 """
 
 from __future__ import annotations
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tremora.llm import decontamination, mixing, ngram_join, sharding, toxicity
-from tremora.llm.common import materialize, table
+from tremora.llm.common import forget, table, workspace
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -25,18 +28,29 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return toxicity.keep_clean(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """The name, with as many underscores behind as keep it from being a column of df."""
+    while name in df.columns:
+        name += "_"
+    return name
+
+
 def drop_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each component. The rest of its rows, and rows that repeat it, go."""
-    del sf_dir
-    found = ngram_join.similar_sets(docs)
-    keep = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    out = docs.join(keep.withColumnRenamed("doc_id", "kept_id_"), F.col("doc_id").eqNullSafe(F.col("kept_id_")), "left_semi")
-    # ids are unique but for repeated rows; the windows are single rows then
-    again = out.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1")
-    if again.isEmpty():
+    del spark, sf_dir
+    digest = F.md5(F.coalesce("text", F.lit("")))
+    # sorts like the id, ids first, then the digest: rows without an id are told apart by their texts
+    shifted = F.col("doc_id").cast("decimal(20,0)") + F.lit(str(2**63)).cast("decimal(20,0)")
+    name = F.concat(F.coalesce(F.lpad(shifted.cast("string"), 20, "0"), F.lit("~")), digest)
+    found = ngram_join.similar_sets(docs.select(name.alias("doc_id"), "text"))
+    kept = free_name(docs, "kept")
+    keep = found.where("doc_id = component_id").groupBy(F.col("doc_id").alias(kept)).agg(F.count("*").alias("n"))
+    out = docs.join(keep.select(kept), name == F.col(kept), "left_semi")
+    if keep.where("n > 1").isEmpty():
         return out
-    first = Window.partitionBy("doc_id", F.md5(F.coalesce("text", F.lit("")))).orderBy("lang", "source")
-    return out.withColumn("place_", F.row_number().over(first)).where("place_ = 1").drop("place_")
+    place = free_name(docs, "place")
+    first = Window.partitionBy(name).orderBy("lang", "source")  # rows of one id and text
+    return out.withColumn(place, F.row_number().over(first)).where(F.col(place) == 1).drop(place)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,10 +61,11 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeats each document as often as the mix takes it, the one at the end of the budget as a whole."""
     del spark, sf_dir
     mixed = mixing.mix(docs).where("taken > 0")
-    copies = mixed.groupBy("doc_id", "source", "tie").agg(F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).cast("int").alias("copies"))
-    copies = copies.select(F.col("doc_id").alias("i_"), F.col("source").alias("s_"), F.col("tie").alias("t_"), "copies")
-    same = F.col("doc_id").eqNullSafe(F.col("i_")) & F.col("source").eqNullSafe(F.col("s_")) & (F.crc32(F.coalesce("text", F.lit(""))) == F.col("t_"))
-    kept = docs.join(copies, same).withColumn("copy_", F.explode(F.sequence(F.lit(1), F.col("copies"))))
+    times = F.max(F.col("epochs") + (F.col("extra") > 0).cast("int")).cast("int")
+    name, source, tie, n, copy = (free_name(docs, c) for c in ("mixed_id", "mixed_source", "mixed_tie", "copies", "copy"))
+    copies = mixed.groupBy(F.col("doc_id").alias(name), F.col("source").alias(source), F.col("tie").alias(tie)).agg(times.alias(n))
+    same = F.col("doc_id").eqNullSafe(F.col(name)) & F.col("source").eqNullSafe(F.col(source)) & (F.crc32(F.coalesce("text", F.lit(""))) == F.col(tie))
+    kept = docs.join(copies, same).withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(n))))
     return kept.select(*docs.columns)
 
 
@@ -75,5 +90,7 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with workspace() as w:
+            before, docs = docs, w.result(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        forget(before)
     return docs
