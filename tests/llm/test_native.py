@@ -106,6 +106,71 @@ def test_rebalance_moves_little(spark, sf):
     assert sum(r.bytes for r in both if r.b == 8) > 0
 
 
+def test_a_stored_map_is_edited(spark, sf):
+    """A second run takes the stored map; more shards add a version in which only moved slots differ."""
+    from tremora.llm.common import scratch
+
+    docs, store = table(spark, sf, "documents"), scratch(spark, "test-maps")
+    runs = [sharding.shard(docs, n, 256, store).collect() for n in (8, 8, 9, 9)]
+    assert [{r.map_version for r in run} for run in runs] == [{1}, {1}, {2}, {2}]
+    assert sorted(map(tuple, runs[0])) == sorted(map(tuple, runs[1])) and sorted(map(tuple, runs[2])) == sorted(map(tuple, runs[3]))
+    shard_of = [{r.virtual_slot: r.shard for r in run} for run in (runs[0], runs[2])]
+    moved = {s for s in shard_of[0] if shard_of[0][s] != shard_of[1][s]}
+    assert moved and {shard_of[1][s] for s in moved} == {8}
+    assert {r.doc_id for r in runs[0] if r.virtual_slot not in moved} == {r.doc_id for r in runs[2] if r.shard != 8}
+    one, two = (spark.read.parquet(f"{store}/map-{v}") for v in (1, 2))
+    assert one.count() == two.count() == 256
+    heavy = spark.createDataFrame([(r.doc_id,) for r in runs[2] if r.shard == 0], "doc_id long").distinct()
+    more = docs
+    for _ in range(4):
+        more = more.unionByName(docs.join(heavy, "doc_id", "left_semi"))  # rows that repeat share their slots
+    assert {r.map_version for r in sharding.shard(more, 9, 256, store).collect()} == {3}
+
+
+def test_first_map_is_largest_first(spark, sf):
+    """The map against a plain loop."""
+    held = sharding.slot_bytes(sharding.sized(table(spark, sf, "documents"), 300), 300)
+    loads, want = [0] * 7, {}
+    for r in sorted(held.collect(), key=lambda r: (-r.bytes, -r.virtual_slot)):
+        s = loads.index(min(loads))
+        loads[s] += r.bytes
+        want[r.virtual_slot] = s
+    assert {r.virtual_slot: r.shard for r in sharding.first_map(held, 7).collect()} == want
+
+
+def test_other_columns_are_not_looked_at(spark):
+    docs = spark.createDataFrame(awkward_docs(), DOCS)
+    more = docs
+    for name in ("size", "tie", "bucket", "key", "weight", "before", "inside", "target", "s1", "b1", "s2", "virtual_slot", "shard", "slot", "version", "n", "bytes", "start", "given", "junk"):
+        more = more.withColumn(name, F.lit("x"))
+    assert rows(mixing.mix(more)) == rows(mixing.mix(docs))
+    assert rows(sharding.shard(more)) == rows(sharding.shard(docs))
+
+
+def test_mix_by_a_given_weight(spark):
+    """The classifier's scores as weights: null and NaN count as almost none."""
+    data = [(i, "word " * 20, None, "a" if i < 400 else "b", 0) for i in range(1200)]
+    docs = spark.createDataFrame(data, DOCS).withColumn("score", F.when(F.col("doc_id") % 3 == 0, F.lit(None)).when(F.col("doc_id") % 3 == 1, float("nan")).otherwise(0.9))
+    out = mixing.mix(docs, quality="score").where("source = 'b'")
+    got = {r.k: r.t for r in out.groupBy((F.col("doc_id") % 3).alias("k")).agg(F.sum("extra").alias("t")).collect()}
+    assert got[2] > 3 * (got[0] + got[1]) or got[2] == max(got.values())
+
+
+def test_many_rules_are_a_join(spark):
+    """Any number of rules: the join gives what the expression gives."""
+    cases = [(i, c[0]) for i, c in enumerate(RULE_CASES)]
+    pages = spark.createDataFrame(cases, "page_id long, url string")
+    host, path = urlfilter.host_and_path(F.col("url"))
+    pages = pages.withColumns({"host": host, "path": path})
+    many = [*urlfilter.RULES, *(("block" if i % 2 else "allow", f"host{i}.org/p{i}") for i in range(600)), ("allow", "host7.org/p7")]
+    short = rows(urlfilter.with_rules(pages))
+    assert rows(urlfilter.with_rules(pages, most=0)) == short
+    more = pages.unionByName(spark.createDataFrame([(90, None, "x.host7.org", "/p7/a"), (91, None, "host599.org", "/p599")], "page_id long, url string, host string, path string"))
+    got = {r.page_id: (r.rule, r.verdict) for r in urlfilter.with_rules(more, many).collect()}
+    assert got[90] == ("host7.org/p7", "block") and got[91] == ("host599.org/p599", "block")
+    assert all(got[i] == (rule, verdict) for i, _, _, _, rule, verdict in short)
+
+
 RULE_CASES = [
     ("http://www.example.com/en/x", "www.example.com", "/en/x", "www.example.com/en/", "allow"),
     ("http://blog.example.com/en/x", "blog.example.com", "/en/x", "example.com/en/", "block"),
@@ -179,8 +244,20 @@ def test_pages_empty(spark):
     assert urlfilter.judge(spark.createDataFrame([], "page_id long, url string, html string")).collect() == []
 
 
-def test_native_plans_have_no_python(spark, sf):
+def test_native_plans_have_no_python(spark, sf, monkeypatch):
+    """Every table that is written on the way is planned without Python, and so is the result."""
+    from tremora.llm import common
+
+    plans, write = [], common.materialize
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, name)
+
+    for module in (common, urlfilter, sharding):
+        monkeypatch.setattr(module, "materialize", seen)
     for df in (urlfilter.judge(table(spark, sf, "pages")), sharding.shard(table(spark, sf, "documents"))):
-        plan = df._jdf.queryExecution().executedPlan().toString()
-        assert "Python" not in plan and "Arrow" not in plan and "Cartesian" not in plan
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
         assert math.isfinite(df.count())
+    assert len(plans) >= 7
+    assert not any(word in plan for plan in plans for word in ("Python", "Arrow", "Cartesian"))

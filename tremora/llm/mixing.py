@@ -8,7 +8,8 @@ The prefix sums are distributed: keys fall into BUCKETS ranges of about equal pr
 source are summed first, and only within a range are rows sorted. A source with a third of all rows is BUCKETS pieces.
 
 Defined cases: a null text has size 0; a null source is a source and comes last; documents of size 0 take 0; no words at
-all: every target is 0; rows that share an id are drawn separately, in the order of their sizes and checksums.
+all: every target is 0; rows that share an id are drawn separately, in the order of their sizes and checksums; no rows: no rows. Columns other
+than doc_id, text, source and the named weight are not looked at, whatever their names.
 """
 
 from __future__ import annotations
@@ -18,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, workspace
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
@@ -51,38 +52,42 @@ def targets(sizes: DataFrame, weights: Sequence[float] = WEIGHTS, share: float =
     return s.withColumn("target", F.round(F.when(F.col("full"), F.col("cap")).otherwise(F.col("w") * level), 6)).select("source", "source_size", "target")
 
 
-def keyed(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """Size, quality weight and exponential key of each document; tie breaks rows of one id."""
+def keyed(docs: DataFrame, seed: str = SEED, quality: str | None = None) -> DataFrame:
+    """Size, quality weight and exponential key of each document; tie breaks rows of one id.
+
+    quality: a column with the weights, such as the quality classifier's scores; 1e-6 at least, and for nulls. Without one
+    the weight falls with the signs of junk per word.
+    """
     text = F.coalesce("text", F.lit(""))
-    sized = docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.regexp_count(text, F.lit(JUNK)).alias("junk"), F.crc32(text).alias("tie"))
+    sized = docs.select("doc_id", "source", F.regexp_count(text, F.lit(WORD)).cast("long").alias("size"), F.regexp_count(text, F.lit(JUNK)).alias("junk"), F.crc32(text).alias("tie"), (F.col(quality).cast("double") if quality else F.lit(1.0)).alias("given"))
     bits = F.conv(F.substring(F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 13), 16, 10).cast("double")
-    weight = F.when(F.col("size") > 0, 1.0 / (1.0 + F.col("junk") / F.col("size"))).otherwise(1.0)
+    weight = F.greatest(F.lit(1e-6), F.coalesce(F.nanvl("given", F.lit(0.0)), F.lit(0.0))) if quality else F.when(F.col("size") > 0, 1.0 / (1.0 + F.col("junk") / F.col("size"))).otherwise(1.0)
     return sized.select("doc_id", "source", "size", "tie", weight.alias("weight"), (-F.log((bits + 0.5) / float(2**52)) / weight).alias("key"))
 
 
-def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: float = EPOCHS, seed: str = SEED) -> DataFrame:
+def mix(docs: DataFrame, weights: Sequence[float] = WEIGHTS, share: float = SHARE, epochs: float = EPOCHS, seed: str = SEED, quality: str | None = None) -> DataFrame:
     """(doc_id, source, size, tie, weight, key, source_size, target, epochs, extra, taken) for each document.
 
     epochs: complete passes over its source. extra: words that the fractional draw takes of it. taken: both, in words.
     """
-    rows = keyed(docs, seed).withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key"))))).cast("int"))
-    rows = materialize(rows, "mix-keys")
-    parts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
-    along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("before", F.coalesce(F.sum("words").over(along), F.lit(0)))
-    aims = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs)
-    parts, aims = parts.select(F.col("source").alias("s1"), F.col("bucket").alias("b1"), "before"), aims.withColumnRenamed("source", "s2")
-    parts = parts.join(aims, F.col("s1").eqNullSafe(F.col("s2"))).drop("s2")
-    inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-    rows = rows.join(parts, F.col("source").eqNullSafe(F.col("s1")) & (F.col("bucket") == F.col("b1")))
-    passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rows = rows.withColumn("epochs", passes)
-    budget = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5)
-    extra = F.greatest(F.lit(0), F.least("size", budget - F.col("before") - F.col("inside"))).cast("long")
-    rows = rows.withColumn("extra", extra).withColumn("taken", F.col("epochs") * F.col("size") + F.col("extra"))
-    return rows.select("doc_id", "source", "size", "tie", "weight", "key", "source_size", "target", "epochs", "extra", "taken")
-
+    with workspace() as w:
+        rows = keyed(docs, seed, quality).withColumn("bucket", F.least(F.lit(BUCKETS - 1), F.floor(BUCKETS * (1 - F.exp(-F.col("key"))))).cast("int"))
+        rows = materialize(rows, "mix-keys")
+        parts = rows.groupBy("source", "bucket").agg(F.sum("size").alias("words"))
+        along = Window.partitionBy("source").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        parts = parts.withColumn("before", F.coalesce(F.sum("words").over(along), F.lit(0)))
+        aims = targets(rows.groupBy("source").agg(F.sum("size").alias("source_size")), weights, share, epochs)
+        parts, aims = parts.select(F.col("source").alias("s1"), F.col("bucket").alias("b1"), "before"), aims.withColumnRenamed("source", "s2")
+        parts = parts.join(aims, F.col("s1").eqNullSafe(F.col("s2"))).drop("s2")
+        inside = Window.partitionBy("source", "bucket").orderBy("key", "doc_id", "size", "tie").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        rows = rows.join(parts, F.col("source").eqNullSafe(F.col("s1")) & (F.col("bucket") == F.col("b1")))
+        passes = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
+        rows = rows.withColumn("epochs", passes)
+        budget = F.floor(F.col("target") - F.col("epochs") * F.col("source_size") + 0.5)
+        extra = F.greatest(F.lit(0), F.least("size", budget - F.col("before") - F.col("inside"))).cast("long")
+        rows = rows.withColumn("extra", extra).withColumn("taken", F.col("epochs") * F.col("size") + F.col("extra"))
+        return w.result(rows.select("doc_id", "source", "size", "tie", "weight", "key", "source_size", "target", "epochs", "extra", "taken"), "mix-result")
 
 ORACLE = rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS text, CAST(len(regexp_extract_all(coalesce(text, ''), '{WORD}')) AS BIGINT) AS size FROM documents),

@@ -3,16 +3,19 @@
 Only DataFrame and SQL functions. The map, not the hash, decides a record's shard, so rebalancing edits some of SLOTS
 map rows and moves only their records. Shards are balanced by bytes: slots go, largest first, to the shard that has least.
 
+A store is a folder of map versions, each written once. With a store, records are placed by its newest version; rows or
+shard counts that it does not fit are met by rebalancing, which adds a version. Without one the map is made for the rows.
+
 Defined cases: a null text has size 8 and the checksum of no bytes; a null id is an id; rows that repeat are placed one
 by one; no rows: no rows. The checksum is part of what is hashed, so rows that share an id spread if their texts differ.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, scratch, workspace
 
 SLOTS = 4096
 SHARDS = 24
@@ -80,9 +83,46 @@ def place(rows: DataFrame, slot_map: DataFrame) -> DataFrame:
     return rows.join(F.broadcast(starts), "virtual_slot").withColumn("slot", (F.col("start") + F.col("inside")).cast("long")).drop("start", "inside")
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS) -> DataFrame:
+def newest(spark: SparkSession, store: str) -> DataFrame | None:
+    """The newest complete version of the map in a store, null without one."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(store)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(at):
+        return None
+    found = [f.getPath() for f in fs.listStatus(at) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f.getPath(), "_SUCCESS"))]
+    numbers = [int(p.getName().removeprefix("map-")) for p in found]
+    return spark.read.parquet(f"{store}/map-{max(numbers)}") if numbers else None
+
+
+def store_map(slot_map: DataFrame, store: str) -> DataFrame:
+    """Adds a version to a store and returns it as read back; it is an error if another job has added it."""
+    path = f"{store}/map-{slot_map.first().version}"
+    slot_map.coalesce(1).write.mode("error").parquet(path)
+    return slot_map.sparkSession.read.parquet(path)
+
+
+def current_map(held: DataFrame, shards: int, store: str, slack: float = 1.1) -> DataFrame:
+    """The map for loads (virtual_slot, bytes, n): the store's newest version while it has that many shards and none holds
+    more than `slack` times the mean and a slot, else the next version, edited by rebalance()."""
+    old = newest(held.sparkSession, store)
+    if old is None:
+        return store_map(first_map(held, shards), store)
+    now = old.select("version", "virtual_slot", "shard").join(held, "virtual_slot")
+    per = now.groupBy("shard").agg(F.sum("bytes").alias("load"), F.max("bytes").alias("slot"))
+    top = per.agg(F.max("load").alias("most"), F.sum("load").alias("all"), F.max("slot").alias("slot")).first()
+    grown = old.agg(F.max("shard")).first()[0] + 1 < shards
+    if not grown and top.most <= slack * top.all / shards + top.slot:
+        return now
+    edited = rebalance(old, held, shards)
+    return store_map(edited, store)
+
+
+def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, store: str | None = None) -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard, virtual_slot, map_version); law `bytes`: sizes near equal."""
-    rows = materialize(sized(docs, slots), "shard-sizes")
-    slot_map = materialize(first_map(slot_bytes(rows, slots), shards), "slot-map-v1")
-    placed = place(rows, slot_map)
-    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", F.lit(1).alias("map_version"))
+    with workspace() as w:
+        rows = materialize(sized(docs, slots), "shard-sizes")
+        held = materialize(slot_bytes(rows, slots), "slot-bytes")
+        slot_map = current_map(held, shards, store or scratch(docs.sparkSession, "slot-maps"))
+        placed = place(rows, slot_map).join(F.broadcast(slot_map.select("virtual_slot", F.col("version").alias("map_version"))), "virtual_slot")
+        out = placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "map_version")
+        return w.result(out, "shard-places")

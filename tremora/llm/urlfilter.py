@@ -1,6 +1,7 @@
 """URL filtering: host and path rules first, then trust and distrust propagated over the link graph of hosts.
 
-Only DataFrame functions. Rules are configuration, a list of at most MAX_RULES that becomes one CASE expression. Hosts
+Only DataFrame functions. Rules are configuration: a list of up to MAX_RULES becomes one CASE expression, a longer one a
+table that meets the distinct hosts and paths by each suffix of a host. Hosts
 that no rule decides get a verdict from personalised PageRank: trust flows along links from trusted seeds, distrust
 flows against links from blocked seeds, and a host is blocked when its distrust exceeds its trust by a threshold. A host
 takes distrust by the share of its own links, so the verdict doesn't depend on how many others link to a blocked host.
@@ -17,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, workspace
 
 #: (verdict, rule); a rule is a host and a path prefix.
 RULES = (("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))
@@ -42,8 +43,6 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
 
 def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES) -> tuple[Column, Column]:
     """The longest rule that fits and its verdict, null without one."""
-    if len(rules) > MAX_RULES:
-        raise ValueError(f"{len(rules)} rules; at most {MAX_RULES} fit one expression")
     rule = verdict = None
     for kind, text in sorted(rules, key=lambda r: (-len(r[1]), r[0] != "block", r[1])):
         name, _, rest = text.partition("/")
@@ -54,6 +53,19 @@ def rule_of(host: Column, path: Column, rules: Sequence[tuple[str, str]] = RULES
     return (none, none) if rule is None else (rule, verdict)
 
 
+def with_rules(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, most: int = MAX_RULES) -> DataFrame:
+    """Pages (host, path, ...) with rule and verdict, by an expression or, for more than `most` rules, by a join."""
+    if len(rules) <= most:
+        return pages.withColumns(dict(zip(("rule", "verdict"), rule_of(F.col("host"), F.col("path"), rules))))
+    table = pages.sparkSession.createDataFrame([(t.partition("/")[0], f"/{t.partition('/')[2]}", t, k) for k, t in rules], "rule_host string, prefix string, text string, kind string")
+    places = pages.select("host", "path").distinct()
+    labels = F.split("host", r"\.")
+    suffixes = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
+    fits = places.withColumn("rule_host", F.explode(suffixes)).join(table, "rule_host").where(F.startswith("path", "prefix"))
+    best = fits.groupBy("host", "path").agg(F.max(F.struct(F.length("text").alias("n"), (F.col("kind") == "block").alias("block"), F.col("text").alias("rule"), F.col("kind").alias("verdict"))).alias("best"))
+    return pages.join(best, ["host", "path"], "left").select(*pages.columns, F.col("best.rule").alias("rule"), F.col("best.verdict").alias("verdict"))
+
+
 def host_edges(pages: DataFrame) -> DataFrame:
     """(src, dst, n): n links of src's pages to dst, from absolute and scheme-relative href and src attributes; src <> dst."""
     found = F.transform(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), F.lit(1)), lambda h: F.translate(h, _UPPER, _LOWER))
@@ -89,17 +101,17 @@ def propagate(edges: DataFrame, seeds: DataFrame, iterations: int = ITERATIONS,
 
 def judge(pages: DataFrame, rules: Sequence[tuple[str, str]] = RULES, iterations: int = ITERATIONS) -> DataFrame:
     """Pages with host, path, rule, verdict, trust and distrust in place of columns of those names."""
-    host, path = host_and_path(F.col("url"))
-    named = pages.drop("host", "path", "rule", "verdict", "trust", "distrust").withColumns({"host": host, "path": path})
-    rule, ruled = rule_of(F.col("host"), F.col("path"), rules)
-    named = named.withColumns({"rule": rule, "verdict": ruled})
-    seeds = named.where("host <> ''").groupBy("host").agg(*(F.avg((F.coalesce("verdict", F.lit("")) == k).cast("double")).alias(c) for k, c in (("allow", "good"), ("block", "bad"))))
-    seeds = materialize(seeds, "host-shares")
-    score = propagate(host_edges(named), seeds, iterations, by_linker=True)
-    score = score.select("host", F.round("trust", 12).alias("trust"), F.round("distrust", 12).alias("distrust"))
-    judged = named.drop("html").join(score, "host", "left")
-    by_method = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > THRESHOLD, "block").otherwise("allow")
-    return judged.withColumn("verdict", F.coalesce("verdict", by_method))
+    with workspace() as w:
+        host, path = host_and_path(F.col("url"))
+        named = pages.drop("host", "path", "rule", "verdict", "trust", "distrust").withColumns({"host": host, "path": path})
+        named = with_rules(named, rules)
+        seeds = named.where("host <> ''").groupBy("host").agg(*(F.avg((F.coalesce("verdict", F.lit("")) == k).cast("double")).alias(c) for k, c in (("allow", "good"), ("block", "bad"))))
+        seeds = materialize(seeds, "host-shares")
+        score = propagate(host_edges(named), seeds, iterations, by_linker=True)
+        score = score.select("host", F.round("trust", 12).alias("trust"), F.round("distrust", 12).alias("distrust"))
+        judged = named.drop("html").join(score, "host", "left")
+        by_method = F.when(F.coalesce(F.col("distrust") - F.col("trust"), F.lit(0.0)) > THRESHOLD, "block").otherwise("allow")
+        return w.result(judged.withColumn("verdict", F.coalesce("verdict", by_method)), "verdicts")
 
 
 def oracle() -> str:
