@@ -10,15 +10,17 @@ from pyspark.sql import functions as F
 
 
 class WordCache(dict):
-    """What a function gives for a word, kept for up to `most` words."""
+    """What a function gives for a word, kept for up to `most` words of up to `length` characters."""
 
-    def __init__(self, f: Callable[[str], Any], most: int = 400_000):
-        self.f, self.most = f, most
+    def __init__(self, f: Callable[[str], Any], most: int = 400_000, length: int = 64):
+        self.f, self.most, self.length = f, most, length
 
     def __missing__(self, word: str) -> Any:
-        if len(self) >= self.most:
-            self.clear()
-        self[word] = value = self.f(word)
+        value = self.f(word)
+        if len(word) <= self.length:
+            if len(self) >= self.most:
+                self.clear()
+            self[word] = value
         return value
 
 

@@ -5,7 +5,8 @@ language l with the proportion of l, and EM finds the proportions from the words
 chosen by penalised likelihood: from the largest proportion down, each of the k languages in the set has to raise
 log likelihood - PENALTY * k * log(words). However small its proportion, a language is tried.
 
-The models are fitted on about SAMPLE documents of each language, chosen by a hash, which bounds them.
+The models are fitted on about SAMPLE documents of each language, chosen by a hash, and have CELLS counts at most: up to
+512 languages have BUCKETS buckets each, twice as many languages half of that.
 
 Defined cases: a text that is null or has no letter is `und` with score 0, as is every text if nothing could be learned;
 words without letters don't count; equal rows get equal results; ties go to the first language in code point order.
@@ -24,9 +25,7 @@ from pyspark.sql import functions as F
 from .common import fold, small_batches
 
 SAMPLE = 1500
-#: Distinct languages that one model holds.
-MOST_LANGUAGES = 500
-BUCKETS = 1 << 16
+BUCKETS, CELLS = 1 << 16, 1 << 25
 ROUNDS = 8
 PENALTY = 2.0
 _SMOOTH = 0.05
@@ -41,7 +40,12 @@ def clean(word: str) -> str:
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
-def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def buckets_for(languages: int) -> int:
+    """Buckets of each language's model: a power of two, BUCKETS at most, and CELLS of all languages."""
+    return min(BUCKETS, 1 << max(8, (CELLS // max(1, languages)).bit_length() - 1))
+
+
+def grams(words: list[str], buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashed trigrams of padded words, their hashed contexts (the first two signs), and where each word's begin."""
     text = np.frombuffer("".join(f"  {w} " for w in words).encode("utf-32-le"), np.uint32).astype(np.uint64)
     lengths = np.array([len(w) for w in words], np.int64)
@@ -51,7 +55,7 @@ def grams(words: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         at = ends[:-1] - back
         whole[at[at < len(whole)]] = False
     ctx = text[:-2] * _A + text[1:-1] * _B
-    spread = lambda x: ((x ^ (x >> np.uint64(29))) * _C >> np.uint64(40)).astype(np.int64) % BUCKETS
+    spread = lambda x: ((x ^ (x >> np.uint64(29))) * _C >> np.uint64(40)).astype(np.int64) % buckets
     return spread(ctx * _B + text[2:] * _C)[whole], spread(ctx)[whole], np.cumsum(lengths + 1) - (lengths + 1)
 
 
@@ -64,7 +68,7 @@ class Model:
 
     def words(self, words: list[str]) -> np.ndarray:
         """Likelihood of each (clean, non-empty) word in each language, relative to its greatest."""
-        t, c, starts = grams(words)
+        t, c, starts = grams(words, len(self.tri))
         ll = np.add.reduceat(self.tri[t] - self.ctx[c], starts, axis=0)
         return np.maximum(np.exp(ll - ll.max(1, keepdims=True)), 1e-30).astype(np.float32)
 
@@ -74,21 +78,27 @@ class Likelihoods:
 
     def __init__(self, model: Model, most: int = 400_000):
         self.model, self.most, self.rows = model, most, {}
-        self.table = np.ones((1, max(1, len(model.languages))), np.float32)
+        #: Grows by doubling; `used` rows of it count.
+        self.table, self.used = np.ones((1024, max(1, len(model.languages))), np.float32), 1
 
     def of(self, texts: list[list[str]]) -> list[np.ndarray]:
         """For each text, the rows of its words with letters."""
         if len(self.rows) > self.most:
-            self.rows, self.table = {}, self.table[:1]
+            self.rows, self.used = {}, 1
         new = [w for w in dict.fromkeys(w for words in texts for w in words) if w not in self.rows]
         letters = [clean(w) for w in new]
         fresh = [w for w in letters if w]
-        at = len(self.table)
+        at = self.used
         for w, c in zip(new, letters):
             self.rows[w] = at if c else 0
             at += bool(c)
         if fresh:
-            self.table = np.concatenate([self.table, self.model.words(fresh)])
+            if at > len(self.table):
+                grown = np.empty((max(at, 2 * len(self.table)), self.table.shape[1]), np.float32)
+                grown[: self.used] = self.table[: self.used]
+                self.table = grown
+            self.table[self.used : at] = self.model.words(fresh)
+            self.used = at
         out = [np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words)) for words in texts]
         return [r[r > 0] for r in out]
 
@@ -143,9 +153,8 @@ def choose(p: np.ndarray, like: np.ndarray) -> tuple[np.ndarray, list[int]]:
 def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> Model:
     """The model from text and non-null lang of the documents for which the condition on doc_id holds."""
     known = docs.where(F.col("lang").isNotNull()).where(learn)
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).limit(MOST_LANGUAGES + 1).collect()
-    if len(counts) > MOST_LANGUAGES:
-        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).collect()  # a row a language
+    buckets = buckets_for(len(counts))
     if not counts:
         return Model([], np.zeros((BUCKETS, 0)), np.zeros((BUCKETS, 0)))
     languages = sorted(r.lang for r in counts)
@@ -158,14 +167,14 @@ def fit(docs: DataFrame, learn: Column, per_language: int = SAMPLE) -> Model:
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 if words := [c for w in (text or "").split() if (c := clean(w))]:
-                    for kind, found in zip(counts.setdefault(lang, [np.zeros(BUCKETS, np.int64), np.zeros(BUCKETS, np.int64)]), grams(words)):
-                        kind += np.bincount(found, minlength=BUCKETS)
+                    for kind, found in zip(counts.setdefault(lang, [np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)]), grams(words, buckets)):
+                        kind += np.bincount(found, minlength=buckets)
         for lang, (tri, ctx) in counts.items():
             yield pa.RecordBatch.from_pylist([{"lang": lang, "tri": tri.tobytes(), "ctx": ctx.tobytes()}])
 
     # the sample is bounded, and so is what a few tasks count of it
     found = chosen.repartition(8).mapInArrow(rows, "lang string, tri binary, ctx binary")
-    tri, ctx = np.zeros((len(languages), BUCKETS)), np.zeros((len(languages), BUCKETS))
+    tri, ctx = np.zeros((len(languages), buckets)), np.zeros((len(languages), buckets))
     for r in found.toLocalIterator():
         i = languages.index(r.lang)
         tri[i] += np.frombuffer(r.tri, np.int64)

@@ -59,6 +59,11 @@ def _digest(tokens: np.ndarray, bits: int = 64) -> tuple[int, int]:
     return (first if bits == 64 else first % (1 << bits)), int.from_bytes(d[8:], "little", signed=True)
 
 
+def _ids(docs: DataFrame) -> str:
+    """The type of ids: strings, or else long."""
+    return "string" if docs.schema["doc_id"].dataType.typeName() == "string" else "long"
+
+
 def set_rows(docs: DataFrame, k: int = WORDS, bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, cls, check, hot, hot_counts): a row a document, and rows with the frequent shingles of runs."""
 
@@ -74,12 +79,12 @@ def set_rows(docs: DataFrame, k: int = WORDS, bits: int = 64) -> DataFrame:
             return [{"hot": tokens[keep].tobytes(), "hot_counts": counts[keep].astype(np.int64).tobytes()}] if keep.any() else []
 
         for batch in batches:
-            ids = batch.column(0).to_pylist()
+            of = batch.column(0).to_pylist()
             for a, _, data, offsets in text_chunks(batch.column(1)):
                 out = []
                 for i, tokens in enumerate(shingles(data, offsets, k)):
                     d = _digest(tokens, bits) if len(tokens) else (None, None)
-                    out.append({"doc_id": ids[a + i], "n_shingles": len(tokens), "cls": d[0], "check": d[1]})
+                    out.append({"doc_id": of[a + i], "n_shingles": len(tokens), "cls": d[0], "check": d[1]})
                     if len(tokens) and d not in held:
                         held[d] = tokens
                         size += len(tokens)
@@ -91,8 +96,9 @@ def set_rows(docs: DataFrame, k: int = WORDS, bits: int = 64) -> DataFrame:
             trim()
         yield pa.RecordBatch.from_pylist(frequent(), schema)
 
-    schema = pa.schema([("doc_id", pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("check", pa.int64()), ("hot", pa.binary()), ("hot_counts", pa.binary())])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "doc_id long, n_shingles long, cls long, check long, hot binary, hot_counts binary")
+    ids = _ids(docs)
+    schema = pa.schema([("doc_id", pa.string() if "string" in ids else pa.int64()), ("n_shingles", pa.int64()), ("cls", pa.int64()), ("check", pa.int64()), ("hot", pa.binary()), ("hot_counts", pa.binary())])
+    return docs.select(F.col("doc_id").cast(ids), "text").mapInArrow(rows, f"doc_id {ids}, n_shingles long, cls long, check long, hot binary, hot_counts binary")
 
 
 def _hot_tokens(sets: DataFrame, hot: int) -> np.ndarray:
@@ -161,7 +167,7 @@ def _token_rows(docs: DataFrame, hot: np.ndarray, copies: dict[int, int], alias:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), (pa.int64(), *[pa.binary()] * 4))], ["bucket", "cls", "sizes", "lengths", "tokens"])
             trim()
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(rows, "bucket long, cls binary, sizes binary, lengths binary, tokens binary")
+    return docs.select(F.col("doc_id").cast(_ids(docs)), "text").mapInArrow(rows, "bucket long, cls binary, sizes binary, lengths binary, tokens binary")
 
 
 def _joined(part: pa.Table, column: str, kind: type) -> np.ndarray:
@@ -439,7 +445,7 @@ def _every_link(members: DataFrame, sets: DataFrame, percent: int, cell: int, pa
 def similar_sets(docs: DataFrame, percent: int = PERCENT, words: int = WORDS, cell: int = CELL, bucket: int = BUCKET, hot: int = HOT, links: bool = False, bits: int = 64) -> DataFrame:
     """(doc_id, n_shingles, component_id[, n_links]) for each row of docs.
 
-    component_id is the smallest id reachable by links; n_links, with links=True, the number of other rows linked directly.
+    Ids are numbers or strings. component_id is the smallest id reachable by links; n_links, with links=True, the number of other rows linked directly.
     bits: how much of a digest numbers a class.
     """
     spark = docs.sparkSession

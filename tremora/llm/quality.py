@@ -1,13 +1,14 @@
 """Quality classifier: random-indexing word vectors, pooled per document, and a two-layer network with a temperature.
 
 A word counts as its letters in lower case and as its shape (signs by kind, runs as one); both are hashed to rows of
-one table. A row's vector is the sum of its own sparse random index vector and of those of its contexts in the sample:
-the shapes within WINDOW words. (Words as contexts too made held-out results a little worse.) A document is the mean of its words' vectors and that of its shapes' vectors. The network is
-fitted on part of the sample, and the temperature that divides its output on the rest.
+one table. Random indexing: each row has a sparse random index vector, and its word vector is the sum of its own and those
+of its contexts in the sample, the words and the shapes within WINDOW words. A document is the mean of its words' vectors
+and that of its shapes' vectors. The network is fitted on part of the sample, and the temperature that divides its output
+on the rest.
 
 The sample has at most SAMPLE texts of each label, which bounds the model whatever the corpus; all else is per text.
 
-Defined cases: null and blank texts are the zero vector and get the network's output for it; equal rows get equal scores;
+Defined cases: columns other than doc_id and text are not looked at; null and blank texts are the zero vector and get the network's output for it; equal rows get equal scores;
 without labels of both kinds every score is the share of label 1, or 0.5.
 """
 
@@ -40,7 +41,7 @@ _RUNS = ((re.compile(r"[^\W\d_]+"), lambda m: "A" if m[0].isupper() and len(m[0]
 
 def codes(word: str) -> int:
     """word row * SHAPES + shape row."""
-    shape = word[:64]
+    shape = word
     for pattern, to in _RUNS:
         shape = pattern.sub(to, shape)
     return zlib.crc32(_LETTERS.sub("", word.lower()).encode()) % WORDS * SHAPES + zlib.crc32(shape.encode()) % SHAPES
@@ -77,6 +78,7 @@ def random_indexing(texts: list[np.ndarray]) -> np.ndarray:
         for d in range(1, WINDOW + 1):
             same = doc[d:] == doc[:-d]
             for x, y in ((slice(d, None), slice(None, -d)), (slice(None, -d), slice(d, None))):
+                add(word[x][same], word[y][same])
                 add(word[x][same], shape[y][same])
                 add(shape[x][same], shape[y][same])
     out = out.reshape(-1, DIM)
