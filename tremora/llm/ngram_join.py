@@ -10,12 +10,11 @@
    with the same members are one. A pair that links is in a common list.
 4. Each set is compared with the first of each of its lists. That settles lists of two, and connects most of a group of
    near copies: lists whose members are all connected are done.
-5. The others make up cells, by the members that they share. In a cell of up to CELL sets, and in each list of a larger
-   cell, a signature tree holds, for each node, the OR of its sets' token bitmaps and the range of their
-   sizes. A dual traversal from (root, root) drops node pairs by size, by the largest overlap that their bitmaps admit, or
-   as already connected; pairs of sets that remain are intersected exactly. Lists above CELL sets are cut into blocks by
-   size and hash, and block pairs are traversed as tasks of their own: one block against all others first, then the
-   pairs that are not yet in one component.
+5. The others make up cells, by the members that they share. In a cell, or in each list of a large cell, a signature tree
+   holds, for each node, the OR of its sets' token bitmaps and the range of their sizes. A dual traversal from (root, root)
+   drops node pairs by size, by the largest overlap that their bitmaps admit, or as already connected; pairs of sets that
+   remain are intersected exactly. Above CELL sets, cells and lists are cut into blocks by size and hash, and block pairs
+   are traversed as tasks of their own: one block against all others first, then the pairs that are not yet in one component.
 
 No pair is ever dropped by a cap: only proofs (size, bitmap bound, rare shingles) and connectedness remove pairs. With
 links=True connectedness removes none: every link is found in the list of the least shingle of its common lists, counted,
@@ -46,7 +45,7 @@ PERCENT = 80
 #: Shingles of so many documents are hot. What a run of documents (RUN shingles) has more than FEW times adds to that count.
 HOT, RUN, FEW = 1_000_000, 4_000_000, 7
 #: Shingles a bucket, classes a group, and sets a tree or pair of blocks, that one task gathers.
-BUCKET, GROUP, CELL = 2_500_000, 2000, 2048
+BUCKET, GROUP, CELL = 2_500_000, 2000, 1024
 #: Buckets at least: 7 bytes then hold a shingle.
 BUCKETS = 256
 
@@ -420,16 +419,19 @@ def _long_links(rows: DataFrame, links: DataFrame, percent: int, limit: int) ->
 def _trees(todo: DataFrame, limit: int) -> tuple[DataFrame, bool]:
     """(cls, label, cell, c): which sets go to a tree, c of them; and whether some c are above the limit.
 
-    Lists that share members make up a cell. One tree takes a whole cell of up to `limit` sets, so that each is sent once;
-    in larger cells, as long chains make, each list is a tree of its own.
+    Lists that share members make up a cell. One tree takes a whole cell of up to `limit` sets, so that each is sent once.
+    A larger cell is cut into blocks as a whole, or each of its lists is a tree, whichever sends fewer sets: groups of near
+    copies have long lists, and are cut; long chains have short ones, and aren't.
     """
     first = todo.groupBy("cell").agg(F.min("cls").alias("low"))
     tops = components(todo.join(first, "cell").select(F.col("cls").alias("a"), F.col("low").alias("b")), "ngram-cells")
-    sizes = tops.groupBy("component").agg(F.count("*").alias("size"))
-    tops = materialize(tops.join(sizes, "component").select(F.col("id").alias("cls"), "component", "size"), "ngram-cell-list")
-    placed = todo.join(tops, "cls")
-    small = placed.where(F.col("size") <= limit).select("cls", "label", F.col("component").alias("cell"), F.col("size").alias("c")).distinct()
-    rows = materialize(small.unionByName(placed.where(F.col("size") > limit).select("cls", "label", "cell", "c")), "ngram-trees")
+    tops = tops.select(F.col("id").alias("cls"), "component")
+    sent = lambda c: F.when(F.col(c) <= limit, 1).otherwise(F.ceil(F.col(c) / max(1, limit // 4)))
+    placed = materialize(todo.join(tops, "cls"), "ngram-placed")
+    sizes = placed.groupBy("component").agg(F.count_distinct("cls").alias("size"), F.sum(sent("c")).alias("by_lists"))
+    whole = sizes.where(F.col("size") * sent("size") <= F.col("by_lists")).select("component", "size")
+    rows = placed.join(whole, "component").select("cls", "label", F.col("component").alias("cell"), F.col("size").alias("c")).distinct()
+    rows = materialize(rows.unionByName(placed.join(whole, "component", "left_anti").select("cls", "label", "cell", "c")), "ngram-trees")
     return rows, not rows.where(F.col("c") > limit).isEmpty()
 
 
