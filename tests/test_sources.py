@@ -183,6 +183,7 @@ def test_versioned_table(spark, tmp_path):
     publish(spark, f"file://{tmp_path}/head.json", {"t": 2})
     publish(spark, f"file://{tmp_path}/head.json", {"t": 1})
     assert published(spark, f"file://{tmp_path}/head.json") == {"t": 1}
+    assert [p.name for p in tmp_path.glob("head.json*")] == ["head.json"]
 
 
 def test_partitioned_writes(spark, tmp_path):

@@ -79,11 +79,6 @@ _LAWS = " UNION ALL ".join(
 )
 
 
-@query(f"WITH {EVENTS} {_LAWS}")
-def window_law_dims(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _law_dims(catalogue(spark, sf_dir).where("magnitude >= 4"))
-
-
 @query(f"WITH {EVENTS} {_LAWS.replace(' WHERE mag >= 4', '')}")
 def window_law_dims_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same for every event."""
@@ -152,13 +147,6 @@ def _release() -> Column:
     return F.when(i % 3 == 0, F.concat(F.lit("release-v"), i % 40)).otherwise(F.concat(F.floor(i % 40 / 10), F.lit("."), i % 10))
 
 
-@query("SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, CASE WHEN event_id % 3 = 0 THEN event_id % 40 ELSE event_id % 40 // 10 END, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 10 END, event_id) AS place FROM events WHERE event_id < 500")
-def release_natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbered releases (v2 before v10) after dotted ones (1.9 before 2.0); a sample, release_natural_sort_all has all events."""
-    rows = table(spark, sf_dir, "events").where("event_id < 500")
-    return rows.select("event_id", F.row_number().over(Window.orderBy(release_order(_release()), "event_id")).alias("place"))
-
-
 @query("SELECT event_id, row_number() OVER (ORDER BY CASE WHEN event_id % 3 = 0 THEN 1 ELSE 0 END, CASE WHEN event_id % 3 = 0 THEN event_id % 40 ELSE event_id % 40 // 10 END, CASE WHEN event_id % 3 = 0 THEN 0 ELSE event_id % 10 END, event_id) AS place FROM events")
 def release_natural_sort_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every event's place, by prefix sums over the release names."""
@@ -490,13 +478,6 @@ def column_health(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- set operations ---------------------------------------------------------------------------------------------------
 
 
-@query("WITH a AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderkey % 3 > 0), b AS (SELECT o_orderkey, CASE WHEN o_orderkey % 50 = 0 THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE o_orderkey % 4 > 0) SELECT *, 'OLD' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'NEW' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
-def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice")
-    price = F.when(F.col("o_orderkey") % 50 == 0, F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice"))
-    return sets.snapshot_diff(o.where("o_orderkey % 3 > 0"), o.where("o_orderkey % 4 > 0").withColumn("o_totalprice", price))
-
-
 @query("WITH a AS (SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus <> 'P'), b AS (SELECT o_orderkey, CASE WHEN o_orderpriority = '5-LOW' THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice FROM orders WHERE NOT (o_orderstatus = 'F' AND o_orderpriority = '1-URGENT')) SELECT *, 'OLD' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'NEW' FROM (SELECT * FROM b EXCEPT SELECT * FROM a)")
 def snapshot_diff_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of two versions of all orders: some are new, some gone, some have another price, and none is in neither."""
@@ -506,12 +487,6 @@ def snapshot_diff_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.snapshot_diff(*(v.select("o_orderkey", "o_totalprice") for v in (old, new)))
 
 
-@query("SELECT p_partkey, p_brand FROM part WHERE p_partkey % 2 = 0 UNION ALL SELECT p_partkey, p_brand FROM part WHERE p_partkey % 3 = 0 AND p_partkey % 2 <> 0")
-def dim_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
-    return sets.merge_dimension(p.where("p_partkey % 2 = 0"), p.where("p_partkey % 3 = 0"), "p_partkey")
-
-
 @query("SELECT p_partkey, p_brand FROM part")
 def dim_merge_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Into the parts of all brands but one, the whole table: every part is in the result."""
@@ -526,14 +501,6 @@ def coverage_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sets.islands(rows, "s", "e", "k")
 
 
-@query("WITH RECURSIVE ed AS (SELECT DISTINCT strftime(a.o_orderdate, '%Y%m') AS x, strftime(b.o_orderdate, '%Y%m') AS y FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1 WHERE a.o_orderkey % 400 = 0), sy AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed), cl(month) AS (SELECT '199701' UNION SELECT y FROM cl JOIN sy ON month = x) SELECT month FROM cl")
-def month_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Months that links from every 400th order to the next connect to one; month_closure_all links all orders."""
-    o = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("id"), F.date_format("o_orderdate", "yyyyMM").alias("month"))
-    links = o.where("id % 400 = 0").select(F.col("id").alias("left_id"), (F.col("id") + 1).alias("right_id"))
-    return spark.createDataFrame([(m,) for m in sorted(sets.month_closure({"199701"}, sets.month_edges(links, o)))], "month string")
-
-
 @query("WITH RECURSIVE ed AS (SELECT DISTINCT strftime(a.o_orderdate, '%Y%m') AS x, strftime(b.o_orderdate, '%Y%m') AS y FROM orders a JOIN orders b ON b.o_orderkey = a.o_orderkey + 1), sy AS (SELECT x, y FROM ed UNION SELECT y, x FROM ed), cl(month) AS (SELECT '199701' UNION SELECT y FROM cl JOIN sy ON month = x) SELECT month FROM cl")
 def month_closure_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The same with links from every order."""

@@ -5,6 +5,8 @@ from __future__ import annotations
 import hashlib
 import io
 import json
+import os
+import uuid
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
@@ -29,9 +31,15 @@ def put(root: str, key: str, payload: bytes, reason: str | None = None, **facts:
     folder = Path(root) / ("quarantine" if reason else "raw") / key
     folder.mkdir(parents=True, exist_ok=True)
     digest, path = hashlib.sha256(payload).hexdigest(), folder / "object.bin"
-    if path.exists() and hashlib.sha256(path.read_bytes()).hexdigest() != digest:
-        raise ValueError(f"{key} exists with other bytes")
-    path.write_bytes(payload)
+    aside = folder / f"_{uuid.uuid4().hex}.tmp"
+    aside.write_bytes(payload)
+    try:
+        os.link(aside, path)  # one step, and only if there is none yet
+    except FileExistsError:
+        if hashlib.sha256(path.read_bytes()).hexdigest() != digest:
+            raise ValueError(f"{key} exists with other bytes") from None
+    finally:
+        aside.unlink()
     back = path.read_bytes()
     status = "Quarantined" if reason else "BronzeReady"
     manifest = {"manifest_id": f"man_{digest[:24]}", "uri": str(path), "sha256": digest, "length": len(payload), "status": status, "reason": reason} | dict.fromkeys(CHECKS, back == payload and not reason) | facts

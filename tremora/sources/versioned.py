@@ -58,12 +58,8 @@ class VersionedTable:
     def _commit(self, operation: str, parts: Sequence[str], schema: str, rows: int, summary: dict, baseline: int) -> int:
         version = baseline + 1
         entry = {"version": version, "operation": operation, "parts": list(parts), "schema": schema, "rows": rows, "summary": summary, "committed_at": time.time()}
-        try:
-            out = self._fs.create(self._path(f"{self.path}/log/{version}.json"), False)
-        except Exception as e:
-            raise Conflict(f"version {version} exists") from e
-        out.write(bytearray(json.dumps(entry).encode()))
-        out.close()
+        if not _put(self.spark, f"{self.path}/log/{version}.json", json.dumps(entry), over=False):
+            raise Conflict(f"version {version} exists")
         return version
 
     def _write(self, df: DataFrame) -> tuple[str, int]:
@@ -101,19 +97,30 @@ def _ddl(df: DataFrame) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def publish(spark: SparkSession, pointer: str, heads: dict[str, int]) -> None:
-    """Flips one pointer file to the versions of several tables, last of all: readers see all of them or none."""
+def _put(spark: SparkSession, path: str, text: str, over: bool) -> bool:
+    """Writes a file aside and renames it in one step: readers see none or all of it. False if it exists and may not be replaced."""
     jvm = spark._jvm
-    p = jvm.org.apache.hadoop.fs.Path(pointer)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    temp = jvm.org.apache.hadoop.fs.Path(f"{pointer}.{uuid.uuid4().hex}")
+    hadoop = jvm.org.apache.hadoop.fs
+    to, temp = hadoop.Path(path), hadoop.Path(f"{path}.{uuid.uuid4().hex}.tmp")
+    fs = to.getFileSystem(spark._jsc.hadoopConfiguration())
     out = fs.create(temp, False)
-    out.write(bytearray(json.dumps(heads, sort_keys=True).encode()))
+    out.write(bytearray(text.encode()))
     out.close()
-    if fs.exists(p):
-        fs.delete(p, False)
-    if not fs.rename(temp, p):
-        raise Conflict("the pointer could not be moved")
+    how = spark.sparkContext._gateway.new_array(hadoop.Options.Rename, 1)
+    how[0] = hadoop.Options.Rename.OVERWRITE if over else hadoop.Options.Rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(fs.getUri(), spark._jsc.hadoopConfiguration()).rename(temp, to, how)
+    except Exception:
+        fs.delete(temp, False)
+        if over or not fs.exists(to):
+            raise
+        return False
+    return True
+
+
+def publish(spark: SparkSession, pointer: str, heads: dict[str, int]) -> None:
+    """Flips one pointer file to the versions of several tables, last of all: readers see all of them or none."""
+    _put(spark, pointer, json.dumps(heads, sort_keys=True), over=True)
 
 
 def published(spark: SparkSession, pointer: str) -> dict[str, int]:
