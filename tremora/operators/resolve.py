@@ -62,14 +62,15 @@ def ambiguous_pairs(qualifying: DataFrame, margin: float) -> DataFrame:
     return out.withColumn("ambiguous", F.col("_flag_l") | F.col("_flag_r")).drop("_rank", "_close_l", "_close_r", "_flag_l", "_flag_r")
 
 
-def match_one_to_one(pairs: DataFrame, order: list[Column], left: str, right: str, rounds: int = 100) -> DataFrame:
+def match_one_to_one(pairs: DataFrame, order: list[Column], left: str, right: str) -> DataFrame:
     """The pairs that greedy matching in the given total order accepts.
 
     A pair that comes first for both its ends is what greedy matching takes; taking all such pairs at once, dropping
-    pairs that touch them and going on gives the same result in few rounds. Rounds go to the checkpoint folder.
+    pairs that touch them and going on gives the same result in few rounds. Rounds go to the checkpoint folder, and end
+    by themselves: the first of all pairs left is best for both its ends. A null end matches nothing.
     """
-    left_over, taken = pairs, None
-    for _ in range(rounds):
+    left_over, taken = pairs.where(F.col(left).isNotNull() & F.col(right).isNotNull()), None
+    while True:
         first = lambda key: F.row_number().over(Window.partitionBy(key).orderBy(*order)) == 1
         marked = left_over.withColumn("_best", first(left)).withColumn("_best", F.col("_best") & first(right))
         marked = keep(marked, "match")
@@ -81,7 +82,6 @@ def match_one_to_one(pairs: DataFrame, order: list[Column], left: str, right: st
         left_over = rest.select(*pairs.columns)
         if left_over.isEmpty():
             return taken.select(*pairs.columns)
-    raise RuntimeError(f"matching is not settled after {rounds} rounds")
 
 
 def evaluate_links(feed: DataFrame, bulletin: DataFrame, rules: LinkRules) -> DataFrame:

@@ -124,6 +124,24 @@ def window_invariants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame(list(found.items()), "invariant string, broken long")
 
 
+@query(f"""{WINDOWS}, sp AS (SELECT mid, mid <> cid AND cid % 10 = 7 AS twice, mid = cid AND mid % 5 = 0 AS gone, mid = cid AND mid % 5 > 0 AS me, mid <> cid AND cid % 10 = 3 AS wrong FROM ca),
+  pm AS (SELECT mid, sum(CASE WHEN twice THEN 1 ELSE 0 END) - sum(CASE WHEN gone THEN 1 ELSE 0 END) AS more FROM sp GROUP BY 1),
+  n AS (SELECT count(*) FILTER (me AND mid % 2 = 0) AS v, count(*) FILTER (wrong) AS r, count(*) FILTER (me AND mid % 3 = 0) AS s, count(*) FILTER (twice) AS g, count(*) FILTER (gone) AS o, (SELECT count(*) FROM pm WHERE more <> 0) AS c FROM sp)
+  SELECT unnest(['self vector', 'role', 'self role', 'grain', 'self once', 'count']) AS invariant, unnest([v, r, s, g, o, c]) AS broken FROM n""")
+def window_invariants_spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The invariants on candidates that were spoilt in each way: moved, of a wrong role, repeated, and without the mainshock."""
+    _, mains, cands = _windows(spark, sf_dir)
+    c = F.col
+    m, k, me = c("mainshock_event_id"), c("candidate_event_id"), c("is_mainshock")
+    swapped = F.when(c("delta_time_hours") < 0, "POST").otherwise("PRE")
+    bad = cands.where(~(me & (m % 5 == 0))).withColumns({
+        "dx_km": c("dx_km") + F.when(me & (m % 2 == 0), 1.0).otherwise(0.0),
+        "relative_time_role": F.when(me & (m % 3 == 0), "POST").when(~me & (k % 10 == 3), swapped).otherwise(c("relative_time_role")),
+    })
+    found = windows.broken_invariants(windows.guarded(mains, cands, SELECTION), bad.unionByName(cands.where(~me & (k % 10 == 7))))
+    return spark.createDataFrame(list(found.items()), "invariant string, broken long")
+
+
 # --- revisions -------------------------------------------------------------------------------------------------------
 
 
@@ -362,6 +380,15 @@ def yearly_cube(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rollup.yearly_cube(rollup.daily(star(spark, sf_dir)))
 
 
+def _counts(checks: dict[str, DataFrame]) -> DataFrame:
+    """(check_name, violations): how many rows each check returns."""
+    out = None
+    for name, df in checks.items():
+        part = df.agg(F.count("*").alias("violations")).withColumn("check_name", F.lit(name))
+        out = part if out is None else out.unionByName(part)
+    return out.select("check_name", "violations")
+
+
 def _checks(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     events = star(spark, sf_dir)
     days = rollup.daily(events, honest_unknowns=True)
@@ -376,12 +403,22 @@ def check_total_delta(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT name AS check_name, 0::BIGINT AS violations FROM (VALUES ('double_count'), ('monthly_parity'), ('daily_parity'), ('honest_nulls'), ('daily_grain'), ('monthly_grain')) t(name)")
 def rollup_parity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many rows break each of the six checks that expect none."""
-    out = None
-    for name, df in _checks(spark, sf_dir).items():
-        if name != "total_delta":
-            part = df.agg(F.count("*").alias("violations")).withColumn("check_name", F.lit(name))
-            out = part if out is None else out.unionByName(part)
-    return out.select("check_name", "violations")
+    return _counts({name: df for name, df in _checks(spark, sf_dir).items() if name != "total_delta"})
+
+
+@query(f"""{_FACTS}, dy AS (SELECT event_date_key_jst AS k, event_date_key_jst // 100 AS ym, {_DIMS}, count(depth_km) AS nd FROM ft GROUP BY ALL),
+  mo AS (SELECT ym, {_DIMS}, bool_or(k % 50 IN (1, 2)) AS off FROM dy GROUP BY ALL),
+  a AS (SELECT count(DISTINCT k) FILTER (k % 50 IN (1, 2)) AS c, count(*) FILTER (k % 50 = 1 OR k % 50 = 3 AND nd > 0) AS d, count(*) FILTER (k % 50 = 3 AND nd > 0) AS h, count(*) FILTER (k % 50 = 2) AS g FROM dy),
+  b AS (SELECT CAST(coalesce(sum(CASE WHEN ym % 10 = 1 THEN 2 ELSE 1 END) FILTER (off), 0) AS BIGINT) AS m, count(*) FILTER (ym % 10 = 1) AS mg FROM mo)
+  SELECT unnest(['double_count', 'monthly_parity', 'daily_parity', 'honest_nulls', 'daily_grain', 'monthly_grain']) AS check_name, unnest([c, m, d, h, g, mg]) AS violations FROM a, b""")
+def rollup_checks_spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The six checks on aggregates with counts too high, repeated rows and averages that are missing."""
+    events, day = star(spark, sf_dir), F.col("event_date_key_jst") % 50
+    days = rollup.daily(events, honest_unknowns=True)
+    months = rollup.monthly(days)
+    bad = days.withColumns({"event_count": F.col("event_count") + F.when(day == 1, 1).otherwise(0), "depth_avg": F.when(day != 3, F.col("depth_avg"))})
+    checks = views.gold_checks(events, bad.unionByName(days.where(day == 2)), months.unionByName(months.where("year_month_jst % 10 = 1")))
+    return _counts({name: df for name, df in checks.items() if name != "total_delta"})
 
 
 @query(f"{_FACTS}, dy AS (SELECT event_date_key_jst, {_DIMS}, count(*) AS n FROM ft GROUP BY ALL) SELECT event_date_key_jst, region_key, magnitude_band_code, depth_band_code, source_coverage_code, n AS a_event_count, n + 1 AS b_event_count FROM dy WHERE event_date_key_jst % 50 = 1")
@@ -560,7 +597,7 @@ def sequence_resolution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.groupBy("candidate_event_id").agg(F.count("*").alias("sequences"), F.max("multi_sequence_status").alias("status"), F.max(F.when(c("resolution_rank") == 1, c("mainshock_event_id"))).alias("first_choice"))
 
 
-def _experiment(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def _experiment(spark: SparkSession, sf_dir: str, spoilt: bool = False) -> dict[str, DataFrame]:
     """Three runs of the counting baseline, one of them not published."""
     m = models.window_baseline(features.valid(_features(spark, sf_dir)[1]))
     runs = spark.createDataFrame([("run_a", "ds_1", "WINDOW", "CANDIDATE"), ("run_b", "ds_1", "WINDOW", "APPROVED"), ("run_c", "ds_1", "WINDOW", "REJECTED")], "experiment_run_id string, dataset_id string, algorithm_name string, experiment_status string")
@@ -569,6 +606,14 @@ def _experiment(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     s = models.summarize(m).crossJoin(ids)
     failed = (F.col("experiment_run_id") == "run_b") & (F.col("mainshock_event_id") % 2 == 0)
     s = s.withColumns({"window_result_status": F.when(failed, "FAILED").otherwise(F.col("window_result_status")), "failure_reason_code": F.when(failed, "EXP_MAINSHOCK_CLASSIFIED_AS_NOISE"), "aftershock_count": F.when(~failed, F.col("aftershock_count")), "dbcv_score": F.lit(None).cast("double"), "omori_p": F.lit(None).cast("double")})
+    if spoilt:
+        k = F.col("mainshock_event_id")
+        s = s.withColumns({
+            "candidate_count": F.col("candidate_count") + F.when(k % 3 == 0, 1).otherwise(0), "aftershock_count": F.col("aftershock_count") + F.when(k % 4 == 1, 1).otherwise(0),
+            "failure_reason_code": F.when(k % 4 != 0, F.col("failure_reason_code")), "dbcv_score": F.when(k % 5 == 0, 0.5),
+        })
+        m = m.withColumn("resolution_rank", F.when(F.col("is_sequence_member"), 1))
+        runs = runs.withColumn("dataset_id", F.when(F.col("experiment_run_id") == "run_b", "ds_2").otherwise(F.col("dataset_id")))
     return views.register_experiments(spark, runs, manifests, m.crossJoin(ids), s)
 
 
@@ -594,11 +639,16 @@ def resolved_memberships(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT name AS check_name, 0::BIGINT AS violations FROM (VALUES ('gate_leak'), ('denominator'), ('aftershock_count'), ('failure_reason'), ('window_dbcv'), ('resolved_unique'), ('orphan_lineage')) t(name)")
 def experiment_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     _experiment(spark, sf_dir)
-    out = None
-    for name, df in views.experiment_checks(spark).items():
-        part = df.agg(F.count("*").alias("violations")).withColumn("check_name", F.lit(name))
-        out = part if out is None else out.unionByName(part)
-    return out.select("check_name", "violations")
+    return _counts(views.experiment_checks(spark))
+
+
+@query(f"""{_MEMBERS}, ws AS (SELECT DISTINCT mid FROM wb), rp AS (SELECT cid FROM wb WHERE member AND role = 'POST' GROUP BY 1 HAVING count(*) > 1),
+  n AS (SELECT 3 * count(*) FILTER (mid % 3 = 0) AS d, 3 * count(*) FILTER (mid % 4 = 1) AS a, count(*) FILTER (mid % 4 = 0) AS f, 3 * count(*) FILTER (mid % 5 = 0) AS w, 3 * (SELECT count(*) FROM rp) AS r FROM ws)
+  SELECT unnest(['gate_leak', 'denominator', 'aftershock_count', 'failure_reason', 'window_dbcv', 'resolved_unique', 'orphan_lineage']) AS check_name, unnest([0, d, a, f, w, r, 1]) AS violations FROM n""")
+def experiment_checks_spoilt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks of results on three runs with wrong counts, reasons and scores missing or there, every member first, and a data set that isn't known."""
+    _experiment(spark, sf_dir, spoilt=True)
+    return _counts(views.experiment_checks(spark))
 
 
 @query(f"{_MEMBERS}, pk AS (SELECT mid, count(*) AS n, any_value(m.mag) AS mag FROM wb JOIN ms m ON m.event_id = wb.mid GROUP BY 1), sz AS (SELECT *, CAST(greatest(3, least(25, floor(3.0 + 1.5 * ln(n + 1.0) + greatest(0.0::DOUBLE, mag - 5.5)))) AS INTEGER) AS size FROM pk) SELECT mid AS mainshock_event_id, size AS min_cluster_size, CAST(greatest(2, least(15, size, floor(0.6 * size))) AS INTEGER) AS min_samples FROM sz")
