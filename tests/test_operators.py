@@ -429,3 +429,21 @@ def test_rollup_of_nothing(spark):
 def test_sweep_is_bounded(spark):
     with pytest.raises(ValueError):
         models.sweep(None, [models.ModelConfig()] * 9)
+
+
+def test_greedy_matching_of_a_chain(spark):
+    """Scores fall along a chain, so each round settles one pair only; null ends match nothing. By plain greedy matching."""
+    pairs = [(f"a{(k + 1) // 2}", f"b{k // 2}", 100 - k) for k in range(9)] + [(None, "b9", 1), ("a9", None, 2), ("a0", "b7", 3)]
+    df = spark.createDataFrame(pairs, "l string, r string, score int")
+    got = resolve.match_one_to_one(df, [F.col("score").desc(), F.col("l"), F.col("r")], "l", "r").collect()
+    used, want = set(), set()
+    for a, b, n in sorted((p for p in pairs if p[0] and p[1]), key=lambda p: (-p[2], p[0], p[1])):
+        if a not in used and b not in used:
+            used |= {a, b}
+            want.add((a, b, n))
+    assert sorted(map(tuple, got)) == sorted(want) and len(want) > 3
+
+
+def test_greedy_matching_of_nothing(spark):
+    df = spark.createDataFrame([], "l string, r string, score int")
+    assert resolve.match_one_to_one(df, [F.col("score").desc()], "l", "r").collect() == []
