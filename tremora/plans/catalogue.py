@@ -15,11 +15,11 @@ from ..functions.score import LinkRules
 from ..operators import audit as A
 from ..operators import dedup, evaluate, features, gold, models, resolve, rollup, sequences, sets, validate, windows
 from ..sources.requests import plan_requests
-from . import rendered, views
+from . import control, rendered, views
 from .surrogate import EVENTS, OBSERVATIONS, SELECTION, STAR, WINDOWS, _bands, catalogue, observations, star, table
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = dict(rendered.QUERIES)
-ORACLE: dict[str, str] = dict(rendered.ORACLE)
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = rendered.QUERIES | control.QUERIES
+ORACLE: dict[str, str] = rendered.ORACLE | control.ORACLE
 
 
 def query(sql: str | None = None) -> Callable:

@@ -5,7 +5,7 @@ Views are registered for SQL users; verification queries return the rows that br
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import rollup
@@ -142,3 +142,38 @@ def kpis(spark: SparkSession, events: DataFrame, **slicers: str | int | None) ->
         AND (:depth_band IS NULL OR depth_band_code = :depth_band) AND (:coverage IS NULL OR source_coverage_code = :coverage)""",
         args=args,
     )
+
+
+def register_gated(df: DataFrame, view: str, status: DataFrame, publication: str) -> DataFrame:
+    """Registers a view of df that has rows only while `status` (publication_id, verify_status) says that the publication passed.
+
+    The gate is read with every query of the view, so a publication that is withdrawn empties it without a new view.
+    """
+    source, gate = f"{view}_rows", f"{view}_status"
+    df.createOrReplaceTempView(source)
+    status.createOrReplaceTempView(gate)
+    spark = df.sparkSession
+    quoted = publication.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE TEMP VIEW {view} AS SELECT * FROM {source} WHERE EXISTS (SELECT 1 FROM {gate} WHERE publication_id = '{quoted}' AND verify_status = 'PASSED')")
+    return spark.table(view)
+
+
+def scope_violations(before: DataFrame, after: DataFrame, days: DataFrame, month: Column, affected: list[str]) -> DataFrame:
+    """(blocker, violations) of a publication that claims to change some months only.
+
+    outside_scope_removed and _added: rows of other months that only one of the snapshots has, repeats counted;
+    aggregate_count: natural events in the area less the events of the daily aggregate, without sign. A row without a
+    month lies outside.
+    """
+    outside = F.coalesce(~month.isin(affected), F.lit(True))
+    digest = sorted(set(before.columns) & set(after.columns))
+    if len(digest) != len(before.columns) or len(digest) != len(after.columns):
+        raise ValueError("the snapshots have other columns")
+    sides = [df.where(outside).select(*digest, F.lit(x).alias("side_")) for df, x in ((before, -1), (after, 1))]
+    # grouping holds nulls equal; one shuffle for both directions
+    net = sides[0].unionByName(sides[1]).groupBy(*digest).agg(F.sum("side_").alias("net_"))
+    found = net.agg(*(F.coalesce(F.sum(F.greatest(x, F.lit(0))), F.lit(0)).cast("long").alias(n) for n, x in (("outside_scope_removed", -F.col("net_")), ("outside_scope_added", F.col("net_")))))
+    facts = after.where("is_natural_earthquake and is_in_study_area").agg(F.count("*").alias("n"))
+    held = days.agg(F.coalesce(F.sum("event_count"), F.lit(0)).alias("m"))
+    one = found.crossJoin(facts).crossJoin(held).withColumn("aggregate_count", F.abs(F.col("n") - F.col("m")))  # a row each
+    return one.select(F.inline(F.array(*(F.struct(F.lit(n).alias("blocker"), F.col(n).cast("long").alias("violations")) for n in ("outside_scope_removed", "outside_scope_added", "aggregate_count")))))
