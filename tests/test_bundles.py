@@ -141,3 +141,8 @@ def test_inputs_are_judged_in_the_order_of_their_names(spark):
     incoming = [("j2", "JMA_BULLETIN", 2020, "a", "v10", "t", 0), ("j3", "JMA_BULLETIN", 2020, "a", "v9", "w", 1), ("u1", "USGS", 2020, "a", None, "s", 2), ("u2", "USGS", 2020, "a", None, "s", 3), ("u2", "USGS", 2020, "a", None, "s", 4), ("j4", "JMA_BULLETIN", 2021, "a", "v1", "s", 5)]
     got = {(r.manifest_uri, r.position): (r.is_active, r.reason_code) for r in months.judge_inputs(active, spark.createDataFrame(incoming, schema)).collect()}
     assert got == {("j1", -1): (False, None), ("j2", 0): (False, None), ("j3", 1): (True, "JMA_RELEASE_IDENTITY_OR_ORDER_CONFLICT"), ("u1", -1): (False, None), ("u1", 2): (True, None), ("u2", 3): (False, None), ("u2", 4): (True, "DUPLICATE_INPUT_PIN"), ("j4", 5): (True, None)}
+
+
+def test_contents_tell_nulls_apart(spark):
+    of = lambda *rows: versioned.contents(spark.createDataFrame(rows, "a string, b string"))
+    assert of(("x", None), ("y", "z")) == of(("y", "z"), ("x", None)) != of((None, "x"), ("y", "z"))

@@ -39,8 +39,12 @@ def fingerprint(df: DataFrame) -> str:
 
 
 def fingerprint_parts(df: DataFrame) -> DataFrame:
-    """An order-free fingerprint of any size: the number of rows, and sums and xor of 64-bit hashes. One pass, no sort."""
+    """An order-free fingerprint of any size: the number of rows, and sums and xor of 64-bit hashes. One pass, no sort.
+
+    The hash passes over nulls, so which columns are null is hashed too: a value and a null may not change places unseen.
+    """
     cols = sorted(df.columns)
+    cols += [F.col(f"`{c}`").isNull() for c in cols]
     h, g = F.xxhash64(*cols), F.xxhash64(F.lit(1), *cols)
     return df.select(h.alias("h"), g.alias("g")).agg(F.count("*").alias("n"), F.sum(F.col("h").cast("decimal(38,0)")).alias("sum_h"), F.bit_xor("g").alias("xor_g"))
 
