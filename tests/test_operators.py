@@ -447,3 +447,14 @@ def test_greedy_matching_of_a_chain(spark):
 def test_greedy_matching_of_nothing(spark):
     df = spark.createDataFrame([], "l string, r string, score int")
     assert resolve.match_one_to_one(df, [F.col("score").desc()], "l", "r").collect() == []
+
+
+def test_flagged_windows_keep_their_features(spark):
+    """Windows above the limit are marked, not cut: all rows are fit where flagged ones are kept, none where they are rejected."""
+    _, df = catalogue(spark)
+    for reject, kept in ((False, True), (True, False)):
+        s = windows.Selection(SEL.period_start, SEL.period_end, 2.0, most_candidates=0, reject_excess=reject)
+        mains = windows.mainshocks(df, s)
+        cands = windows.candidates(df, mains, s)
+        got = features.valid(features.features(windows.guarded(mains, cands, s), cands, features.Scaling(most_candidates=0, keep_flagged=True)))
+        assert got.count() == (cands.count() if kept else 0)
