@@ -200,6 +200,23 @@ def test_components(spark):
     assert got == {x: find(x) for a, b in edges if a != b for x in (a, b)}
 
 
+@pytest.mark.parametrize("few", [0, 150, 1 << 18])
+def test_components_by_rounds_and_in_the_driver(spark, few):
+    """Rounds, the driver after some rounds, and the driver alone agree; few edges take few jobs, however long their chain."""
+    edges = [(i * 7 % 499, (i + 1) * 7 % 499) for i in range(400)] + [(2000 + i, 2000) for i in range(50)] + [(3, 3)]
+    find = Find()
+    for a, b in edges:
+        find.join(a, b)
+    frame = spark.createDataFrame(edges, "a long, b long")
+    spark.sparkContext.setJobGroup(f"components-{few}", "")
+    out = components(frame, few=few)
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components-{few}"))
+    spark.sparkContext.setJobGroup("", "")
+    assert {r.id: r.component for r in out.collect()} == {x: find(x) for a, b in edges if a != b for x in (a, b)}
+    assert few <= 150 or jobs <= 8
+    assert components(frame.where("a = b"), few=few).collect() == []
+
+
 def plain_vectors(data):
     keep = [i for i, (_, v) in enumerate(data) if v and None not in v and np.isfinite(v).all() and np.any(np.array(v))]
     unit = {i: np.array(data[i][1], float) / np.linalg.norm(np.array(data[i][1], float)) for i in keep}

@@ -196,17 +196,41 @@ def shingles(data: np.ndarray, offsets: np.ndarray, k: int = 5) -> Iterator[np.n
         a += c
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
+#: Edges that the driver connects by itself, at most (16 bytes each): rounds of so few cost more in tasks than in work.
+FEW_EDGES = 1 << 18
+
+
+def connect(u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(ids, component of each) of the nodes of edges, the component being its smallest id."""
+    ids, ends = np.unique(np.concatenate((u, v)), return_inverse=True)
+    top, x, y = np.arange(len(ids)), ends[: len(u)], ends[len(u) :]
+    while True:
+        a, b = top[x], top[y]
+        if (a == b).all():
+            return ids, ids[top]
+        np.minimum.at(top, np.maximum(a, b), np.minimum(a, b))  # roots below a lower one
+        while not np.array_equal(up := top[top], top):
+            top = up
+
+
+def components(edges: DataFrame, name: str = "components", few: int = FEW_EDGES) -> DataFrame:
     """Connected components of edges (a, b): rows (id, component), the component being its smallest id.
 
-    Alternates the two star contractions of Kiveris et al. (2014): each round points neighbours of a node to the
-    smallest one. A round is an aggregate and a join on node ids, written to the shared folder; edges only shrink to
-    stars, so the number of rows never exceeds twice the input. Rounds go on until one changes nothing, about as many as
-    the logarithm of the longest path squared. Nodes without edges don't occur in the result.
+    Up to `few` edges are connected in the driver. Of more, rounds alternate the two star contractions of Kiveris et al.
+    (2014): each points neighbours of a node to the smallest one. A round is an aggregate and a join on node ids, written
+    to the shared folder; edges only shrink to stars, so the number of rows never exceeds twice the input. Rounds go on
+    until one changes nothing or so few edges are left, about as many as the logarithm of the longest path squared. Nodes
+    without edges don't occur in the result.
     """
     cur = materialize(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct(), name)
-    seen, settled = None, False
+    seen, settled, n = None, False, cur.count()
     while not settled:
+        if n <= few:
+            pairs = cur.toArrow()  # `few` rows at most
+            forget(cur)
+            ids, tops = connect(*(pairs.column(c).to_numpy() for c in ("u", "v")))
+            out = edges.sparkSession.createDataFrame(pa.table({"id": ids.astype(np.int64), "component": tops.astype(np.int64)}), "id long, component long")
+            return materialize(out, f"{name}-few")
         both = cur.unionByName(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
@@ -215,7 +239,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
         new = materialize(small, name)
         state = new.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.countDistinct("u")).first()
         forget(cur)
-        cur = new
+        cur, n = new, state[0]
         settled = state == seen or state[0] == state[2] and new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty()
         seen = state
     return cur.select(F.col("u").alias("id"), F.col("v").alias("component")).unionByName(cur.select(F.col("v").alias("id"), F.col("v").alias("component")).distinct())
