@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tremora.functions import geo
 from tremora.functions.ids import release_order
+from tremora.functions.reasons import reasons_of
 from tremora.functions.score import LinkRules
 from tremora.operators import audit, dedup, features, gold, models, resolve, rollup, sequences, sets, validate, windows
 from tremora.plans import integrate
@@ -458,3 +459,9 @@ def test_flagged_windows_keep_their_features(spark):
         cands = windows.candidates(df, mains, s)
         got = features.valid(features.features(windows.guarded(mains, cands, s), cands, features.Scaling(most_candidates=0, keep_flagged=True)))
         assert got.count() == (cands.count() if kept else 0)
+
+
+def test_reasons_of_bits(spark):
+    codes = ["a", "b", "c"]
+    got = {r.id: r.codes for r in spark.range(8).select("id", reasons_of(F.col("id").cast("int"), codes).alias("codes")).collect()}
+    assert got == {i: [c for k, c in enumerate(codes) if i >> k & 1] for i in range(8)}
