@@ -249,6 +249,26 @@ def test_windows_match_a_nested_loop(spark):
     assert set(windows.broken_invariants(g, windows.candidates(df, mains, SEL)).values()) == {0}
 
 
+@pytest.mark.parametrize("most", [windows.FEW, 0])
+def test_invariants_count_what_is_broken(spark, monkeypatch, most):
+    """A repeated pair, a lost mainshock and a wrong role; only the repeated pair's candidate is grouped pair by pair."""
+    monkeypatch.setattr(windows, "FEW", most)
+    _, df = catalogue(spark)
+    mains = windows.mainshocks(df, SEL)
+    cands = windows.candidates(df, mains, SEL).persist()
+    a, b, c = cands.where("not is_mainshock").orderBy("mainshock_event_id", "candidate_event_id").limit(3).collect()
+    is_ = lambda x: (F.col("mainshock_event_id") == x.mainshock_event_id) & (F.col("candidate_event_id") == x.candidate_event_id)
+    lost = F.col("is_mainshock") & (F.col("mainshock_event_id") == b.mainshock_event_id)
+    bad = cands.where(~lost).withColumn("relative_time_role", F.when(is_(c), F.when(F.col("delta_time_hours") < 0, "POST").otherwise("PRE")).otherwise(F.col("relative_time_role"))).unionByName(cands.where(is_(a)))
+    bad = bad.unionByName(cands.where(is_(a)).withColumns({"mainshock_event_id": F.lit("none"), "candidate_event_id": F.lit(None).cast("string")}))
+    seen, count = [], windows.violations
+    monkeypatch.setattr(windows, "violations", lambda rows, checks, *w: (seen.append(rows.count()) if "grain" in checks else None) or count(rows, checks, *w))
+    found = windows.broken_invariants(windows.guarded(mains, cands, SEL), bad)
+    # a window that isn't known, too, has no mainshock and another count; that which lost one and has a row twice has the same
+    assert found == {"self vector": 0, "role": 1, "self role": 0, "grain": 1, "self once": 2, "count": 1}
+    assert seen == [bad.where(F.col("candidate_event_id") == a.candidate_event_id).count() - 1 if most else bad.count() - 1]
+
+
 def test_simultaneous_events_are_after(spark):
     rows = [("m", T0, 35.0, 140.0, 100.0, 6.0, True), ("s", T0, 35.0, 140.0, 90.0, 3.0, True)]
     df = spark.createDataFrame(rows, CAT)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import blank, finite
 from ..functions.reasons import reasons_of
 from ..session import keep
-from .windows import RIM, few, relative, role, weight
+from .windows import RIM, few, relative, repeated, role, weight
 
 VECTOR = ("x_scaled", "y_scaled", "z_scaled", "time_scaled")
 
@@ -97,18 +97,6 @@ RULES: dict[str, Callable[[_Row], list[Column]]] = {
 PART = 3
 
 
-def repeated(cands: DataFrame, ids: DataFrame) -> bool:
-    """Whether some pair of mainshock and candidate occurs twice; ids has the few mainshocks of cands, one row each.
-
-    Mainshocks are numbered, and a candidate has a bit for each of them in words of 64: a word with fewer bits than rows
-    has a pair twice. So groups are a candidate's words, not its pairs.
-    """
-    numbered = F.broadcast(ids.select("mainshock_event_id", F.monotonically_increasing_id().alias("_i")))
-    same = cands["mainshock_event_id"].eqNullSafe(numbered["mainshock_event_id"])
-    words = cands.join(numbered, same).groupBy("candidate_event_id", F.expr("_i div 64").alias("_w")).agg(F.count("*").alias("n"), F.expr("bit_or(shiftleft(1L, cast(_i % 64 as int)))").alias("bits"))
-    return not words.where(F.col("n") > F.bit_count("bits")).isEmpty()
-
-
 def features(mains: DataFrame, cands: DataFrame, scaling: Scaling | None = None) -> DataFrame:
     """Candidates with VECTOR, the scales, and feature_reason_codes (empty for valid rows).
 
@@ -131,7 +119,7 @@ def features(mains: DataFrame, cands: DataFrame, scaling: Scaling | None = None)
         known = per.join(main, "mainshock_event_id", "left").withColumn("_k", F.greatest(times, F.lit(1)))
         known = known.withColumns({"_n": F.col("_n") * F.col("_k"), "_self": F.col("_self") * F.col("_k")})
         rows = cands.join(F.broadcast(known), "mainshock_event_id", "left")
-        rows = rows.withColumn("_grain", pair if repeated(cands, per.select("mainshock_event_id")) else F.coalesce("_k", F.lit(1)))
+        rows = rows.withColumn("_grain", pair if not repeated(cands, per).isEmpty() else F.coalesce("_k", F.lit(1)))
     else:
         rows = cands.join(main, "mainshock_event_id", "left").withColumns({"_n": n.over(window), "_self": selves.over(window), "_grain": pair})
     # by a generator, through which no filter pulls it: written out wherever a code needs it, the codes are too long to compile
