@@ -402,6 +402,24 @@ def test_sequence_resolution(spark, seed):
     assert rec.raw_aftershocks == rec.resolved_unique_aftershocks + rec.ambiguous_aftershocks + rec.deduplicated_aftershocks
 
 
+def test_sequences_of_like_probabilities(spark):
+    """All of a candidate's rows are one run: sorted in place, and never joined with themselves; no column is lost."""
+    rng, e = random.Random(5), 1e-6
+    rows = [(f"m{m}", f"c{c}", rng.random() < 0.85, rng.choice([None, 0.4 * e, 0.9 * e]), rng.choice([0.1, 0.1 + 0.4 * e, 0.2, 0.3, 0.5]), "POST") for c in range(60) for m in rng.sample(range(9), rng.randrange(1, 6))]
+    df = spark.createDataFrame(rows, MEM).withColumns({"p": F.lit("mine"), "n": F.lit(7), "at": F.lit(8), "_at": F.lit(9), "all": F.lit(10)})
+    out = sequences.resolve_sequences(df)
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
+    got = out.collect()
+    assert len(got) == len(rows) and {(r["p"], r["n"], r["at"], r["_at"], r["all"]) for r in got} == {("mine", 7, 8, 9, 10)}
+    found = {(r.mainshock_event_id, r.candidate_event_id): (r.multi_sequence_status, r.resolution_rank) for r in got}
+    for c in {r[1] for r in rows}:
+        mine = [r for r in rows if r[1] == c]
+        want = plain_ranks([r for r in mine if r[2]]) if any(r[2] for r in mine) else {}
+        assert all(found[r[0], c] == want.get(r[0] if r[2] else None, ("NOT_MEMBER", None)) for r in mine), mine
+    none = sequences.resolve_sequences(spark.createDataFrame([("m", None, True, None, 0.1, "POST"), (None, "c", True, None, 0.1, "POST")], MEM)).collect()
+    assert {(r.multi_sequence_status, r.resolution_rank) for r in none} == {("AMBIGUOUS", None)}
+
+
 def test_nested_parents(spark):
     rows = [("a", "b", True, 0.9, 0.1, "POST"), ("c", "b", True, 0.5, 0.1, "POST"), ("b", "b", True, 0.2, 0.0, "MAINSHOCK"), ("a", "c", True, 0.5, 0.3, "POST"), ("b", "c", True, 0.5, 0.3, "POST"), ("a", "a", True, 1.0, 0.0, "MAINSHOCK")]
     resolved = sequences.resolve_sequences(spark.createDataFrame(rows, MEM))

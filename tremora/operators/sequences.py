@@ -21,26 +21,38 @@ def resolve_sequences(members: DataFrame, eps: float = EPS) -> DataFrame:
     tie. That is two sorted windows over a candidate's rows. Candidates with a longer run are folded row by row.
     """
     c = F.col
-    member = members.where("is_sequence_member").select("candidate_event_id", "mainshock_event_id", F.coalesce("membership_probability", F.lit(0.0)).alias("p"), F.coalesce("normalized_distance", F.lit(0.0)).alias("d"))
+    names = [n for n in members.columns if n not in ("multi_sequence_status", "resolution_rank")]
+    # a member's columns go along as one, so that they can't clash with those made here
+    member = members.where("is_sequence_member").select("candidate_event_id", "mainshock_event_id", F.coalesce("membership_probability", F.lit(0.0)).alias("p"), F.coalesce("normalized_distance", F.lit(0.0)).alias("d"), F.struct(*names).alias("all"))
     mine = Window.partitionBy("candidate_event_id")
-    by_p = mine.orderBy(c("p").desc())
-    rows = member.withColumn("_new", F.when(F.lag("p").over(by_p) - c("p") <= eps, 0).otherwise(1))
-    rows = rows.withColumn("run", F.sum("_new").over(by_p.rowsBetween(Window.unboundedPreceding, 0)))
-    in_run = Window.partitionBy("candidate_event_id", "run")
-    rows = rows.withColumn("odd", F.max("p").over(in_run) - F.min("p").over(in_run) > eps)
-    rows = rows.withColumn("odd", F.bool_or("odd").over(mine))
+    # where no probabilities of a candidate are further apart than eps, all its rows are one run
+    apart = not member.groupBy("candidate_event_id").agg((F.max("p") - F.min("p") > eps).alias("apart")).where("apart").isEmpty()
+    if apart:
+        by_p = mine.orderBy(c("p").desc())
+        rows = member.withColumn("_new", F.when(F.lag("p").over(by_p) - c("p") <= eps, 0).otherwise(1))
+        rows = rows.withColumn("run", F.sum("_new").over(by_p.rowsBetween(Window.unboundedPreceding, 0)))
+        in_run = Window.partitionBy("candidate_event_id", "run")
+        rows = rows.withColumn("odd", F.max("p").over(in_run) - F.min("p").over(in_run) > eps)
+        rows = rows.withColumn("odd", F.bool_or("odd").over(mine))
+    else:
+        rows = member.withColumns({"run": F.lit(1), "odd": F.lit(False)})
     best_first = mine.orderBy("run", "d", "mainshock_event_id")
     tied = (F.lead("run").over(best_first) == c("run")) & (F.lead("d").over(best_first) - c("d") <= eps)
     rows = rows.withColumn("at", F.row_number().over(best_first)).withColumn("tied", F.coalesce(tied, F.lit(False)))
     rows = rows.withColumns({"stop": F.min(F.when(c("tied"), c("at"))).over(mine), "n": F.count("*").over(mine)})
     late = F.coalesce(c("at") >= c("stop"), F.lit(False))
     rows = rows.withColumn("rank", F.when(~late, c("at")).otherwise(c("stop") - 1 + F.row_number().over(Window.partitionBy("candidate_event_id", late).orderBy("mainshock_event_id"))))
-    plain = rows.where("not odd").select("candidate_event_id", "mainshock_event_id", "n", F.when((c("stop") == 1) & (c("n") > 1), None).otherwise(c("rank")).alias("rank"))
-    ranked = plain.unionByName(_fold_ranks(rows.where("odd"), eps))
-    joined = members.join(ranked, ["candidate_event_id", "mainshock_event_id"], "left")
-    rank = F.when(c("is_sequence_member"), c("rank")).cast("int")
-    status = F.when(~c("is_sequence_member"), "NOT_MEMBER").when(c("n") == 1, "UNIQUE").when(c("rank").isNull(), "AMBIGUOUS").otherwise("MULTIPLE")
-    return joined.withColumns({"multi_sequence_status": status, "resolution_rank": rank}).drop("n", "rank")
+    rank = F.when((c("stop") == 1) & (c("n") > 1), None).otherwise(c("rank")).cast("int")
+    ids = c("candidate_event_id").isNotNull() & c("mainshock_event_id").isNotNull()
+    ranked = rows.where("not odd").select("all", F.when(ids, c("n")).alias("n"), F.when(ids, rank).alias("rank"))
+    if apart:
+        odd = rows.where("odd")
+        ranked = ranked.unionByName(odd.drop("n", "rank").join(_fold_ranks(odd, eps), ["candidate_event_id", "mainshock_event_id"], "left").select("all", "n", "rank"))
+    status = F.when(c("n") == 1, "UNIQUE").when(c("rank").isNull(), "AMBIGUOUS").otherwise("MULTIPLE")
+    out = ranked.select("all.*", status.alias("multi_sequence_status"), c("rank").alias("resolution_rank"))
+    others = members.where(~F.coalesce("is_sequence_member", F.lit(False)))
+    said = F.when(~c("is_sequence_member"), "NOT_MEMBER").otherwise("AMBIGUOUS")
+    return out.unionByName(others.select(*names, said.alias("multi_sequence_status"), F.lit(None).cast("int").alias("resolution_rank")))
 
 
 def _fold_ranks(rows: DataFrame, eps: float) -> DataFrame:
