@@ -269,6 +269,35 @@ def test_invariants_count_what_is_broken(spark, monkeypatch, most):
     assert seen == [bad.where(F.col("candidate_event_id") == a.candidate_event_id).count() - 1 if most else bad.count() - 1]
 
 
+def test_runs_stand_for_all_pairs(spark):
+    """Of few places: by mainshock and role as many as pairs, with events at the mainshock's time and the window's bounds."""
+    rows, _ = catalogue(spark)
+    post, pre = math.exp(-2.870 + 1.235 * 6.0) * 24, max(168.0, 0.1 * math.exp(-2.870 + 1.235 * 6.0) * 24)
+    rows = [(*r[:2], 35.0 + i % 3 / 10, 140.0 + i % 2 / 10, 60.0 + i % 2, *r[5:]) for i, r in enumerate(rows)]
+    rows += [(f"m{k}", T0, 35.0, 140.0, 60.0, 6.0, True) for k in range(3)]
+    rows += [(f"b{k}{x}", T0 + timedelta(microseconds=round(h * 3.6e9) + x), 35.0, 140.0, 60.0, 2.5, True) for k, h in enumerate((-pre, post)) for x in (-1, 0, 0.5, 1)]
+    df = spark.createDataFrame(rows, CAT)
+    events = windows.settled(df, SEL)
+    mains = windows.mainshocks(events, SEL)
+    runs, pairs = windows.candidates(events, mains, SEL), windows.candidates(df, windows.mainshocks(df, SEL), SEL).persist()
+    by = lambda c, n: {r[:3]: r[3] for r in c.groupBy("mainshock_event_id", "relative_time_role", "distance_3d_km").agg(F.sum(n)).collect()}
+    assert by(runs, "pairs") == by(pairs, F.lit(1)) and runs.count() < pairs.count() / 3
+    # a run's row is one of its pairs, and that nearest to the mainshock
+    named = ["mainshock_event_id", "candidate_event_id", "relative_time_role", "delta_time_hours", "dx_km", "dy_km", "dz_km"]
+    assert runs.select(*named).exceptAll(pairs.select(*named)).isEmpty()
+    assert set(windows.broken_invariants(windows.guarded(mains, runs, SEL), runs).values()) == {0}
+    want = {r[0]: r[1:] for r in pairs.where("relative_time_role <> 'PRE'").groupBy("candidate_event_id").agg(F.count("*"), F.count_if(~F.col("is_mainshock"))).collect()}
+    got = {r[0]: r[1:] for r in windows.covers(events, runs.where("relative_time_role <> 'PRE'")).collect() if r[1]}
+    assert got == want and any(n > 1 for n, _ in want.values())
+
+
+def test_events_without_common_places_are_not_settled(spark):
+    _, df = catalogue(spark)
+    assert windows.settled(df, SEL) is None
+    one = df.limit(20).withColumns({"latitude": F.lit(35.0), "longitude": F.lit(140.0), "depth_km": F.lit(60.0), "magnitude": F.lit(3.0), "event_time_utc": F.lit(T0)})
+    assert windows.settled(one, SEL) is not None and windows.settled(one.unionByName(one), SEL) is None
+
+
 def test_simultaneous_events_are_after(spark):
     rows = [("m", T0, 35.0, 140.0, 100.0, 6.0, True), ("s", T0, 35.0, 140.0, 90.0, 3.0, True)]
     df = spark.createDataFrame(rows, CAT)
